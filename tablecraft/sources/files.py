@@ -57,7 +57,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    """Write CSV files with a header; spaces at the ends of a text are kept."""
+    df.write.mode("errorifexists").options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
