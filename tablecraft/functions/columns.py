@@ -34,7 +34,7 @@ def number_from_text(name: str, data_type: T.DataType | str = "float", strip_per
     """A text (or number) as ``data_type``; null where it cannot be read as one."""
     column = F.col(name)
     if strip_percent:
-        column = F.regexp_replace(F.trim(column.cast("string")), "%$", "")
+        column = F.rtrim(F.trim(column.cast("string")), F.lit("%"))
     return column.try_cast(data_type)
 
 

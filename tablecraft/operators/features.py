@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,19 +36,22 @@ def category_levels(df: DataFrame, columns: list[str], max_levels: int = 1000) -
     return {c: sorted(found, key=lambda x: (-x[1], x[0])) for c, found in levels.items()}
 
 
+def _place_levels(df: DataFrame, labels: dict[str, list[str]], names: dict[str, str]) -> DataFrame:
+    """Index columns from known labels. One model per column: a model of several columns pads the
+    shorter label lists with nulls."""
+    for c, known in labels.items():
+        model = StringIndexerModel.from_labels(known, inputCol=c, outputCol=names[c], handleInvalid="keep")
+        df = model.transform(df)
+    return df
+
+
 def index_strings(
     df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]] | None = None, *, suffix: str = "Index"
 ) -> DataFrame:
     """Frequency index per column (0.0 is the most frequent level); null and unknown texts share one
     extra index. All columns are indexed from one pass, and carry nominal metadata."""
     levels = levels or category_levels(df, columns)
-    model = StringIndexerModel.from_arrays_of_labels(
-        [[level for level, _ in levels[c]] for c in columns],
-        inputCols=columns,
-        outputCols=[f"{c}{suffix}" for c in columns],
-        handleInvalid="keep",
-    )
-    return model.transform(df)
+    return _place_levels(df, {c: [level for level, _ in levels[c]] for c in columns}, {c: f"{c}{suffix}" for c in columns})
 
 
 def indicator_names(column: str, levels: list[str], taken: set[str]) -> dict[str, str]:
@@ -76,10 +79,27 @@ def one_hot(
     flags: list[Column] = []
     for c in columns:
         names = indicator_names(c, sorted(level for level, _ in levels[c]), taken)
-        flags += [F.coalesce((F.col(c) == level).cast("int"), F.lit(0)).alias(name) for level, name in names.items()]
+        flags += [F.col(c).eqNullSafe(level).cast("int").alias(name) for level, name in names.items()]
     return df.select("*", *flags)
 
 
+def one_hot_vectors(
+    df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]] | None = None
+) -> DataFrame:
+    """Replace each categorical column by a sparse 0/1 vector of the same name.
+
+    The same indicators as :func:`one_hot`, for use in feature vectors: one narrow column instead of
+    dozens of wide ones, which keeps the generated code small. The extra index for null and unknown
+    texts is the last one, which the encoder drops, so every real level is kept and they give zeros.
+    """
+    levels = levels or category_levels(df, columns)
+    places = {c: f"__{c}_place" for c in columns}
+    labels = {c: sorted(level for level, _ in levels[c]) for c in columns}
+    placed = _place_levels(df, labels, places).drop(*columns)
+    encoder = OneHotEncoder(inputCols=list(places.values()), outputCols=columns, dropLast=True)
+    return encoder.fit(placed).transform(placed).drop(*places.values())
+
+
 def add_class_weights(
     df: DataFrame, label: str = LABEL_COLUMN, name: str = WEIGHT_COLUMN, *, share_of: int = 1
 ) -> DataFrame:
@@ -135,11 +155,16 @@ def split_by_key(
     return df.where(chosen), df.where(~chosen)
 
 
-def feature_importance(df: DataFrame, scores, name: str = "features") -> DataFrame:
-    """``(idx, feature, score)``, best first: importances of a fitted forest joined to the attribute
-    names (numeric, nominal and binary) in the metadata of the vector column."""
+def vector_attributes(df: DataFrame, name: str = "features") -> list[tuple[int, str]]:
+    """Position and name of every entry of a vector column, from all attribute groups (numeric,
+    nominal and binary) of its metadata."""
     groups = df.schema[name].metadata["ml_attr"]["attrs"]
-    rows = [(a["idx"], a["name"], float(scores[a["idx"]])) for group in groups.values() for a in group]
+    return sorted((a["idx"], a["name"]) for group in groups.values() for a in group)
+
+
+def feature_importance(df: DataFrame, scores, name: str = "features") -> DataFrame:
+    """``(idx, feature, score)``, best first: importances of a fitted forest with feature names."""
+    rows = [(idx, feature, float(scores[idx])) for idx, feature in vector_attributes(df, name)]
     schema = T.StructType.fromDDL("idx int, feature string, score double")
     return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("score"), "idx")
 

@@ -151,9 +151,9 @@ def _null_counts(source: str, names: list[str]) -> str:
     )
 
 
-def _flags() -> list[tuple[str, str]]:
+def _flags(plain_names: bool = True) -> list[tuple[str, str]]:
     return [
-        (f"coalesce(cast({c} = '{level}' as int), 0)", f'"{c}_{name}"')
+        (f"coalesce(cast({c} = '{level}' as int), 0)", f'"{c}_{name if plain_names else level}"')
         for c, levels in LEVELS.items()
         for level, name in levels
     ]
@@ -263,7 +263,7 @@ def _encoded() -> str:
     joins = " ".join(f"left join {c}_levels using ({c})" for c in INDEXED)
     parts = [f"cast({n} as double) as {n}" for n in numbers]
     parts += [f'{c}_levels.idx as "{c}Index"' for c in INDEXED]
-    parts += [f"cast({flag} as double) as {name}" for flag, name in _flags()]
+    parts += [f"cast({flag} as double) as {name}" for flag, name in _flags(False)]
     parts += [f'cast({YEARS} as double) as "emp_lengthIndex"']
     return ",".join(
         [
@@ -284,7 +284,7 @@ def _feature_names() -> list[str]:
     return (
         ["loan_amnt", "int_rate", "installment", "annual_inc", "dti"]
         + [f'"{c}Index"' for c in INDEXED]
-        + [name for _, name in _flags()]
+        + [name for _, name in _flags(False)]
         + ['"emp_lengthIndex"']
     )
 

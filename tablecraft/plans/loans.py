@@ -48,32 +48,42 @@ def settled_loans(cleaned: DataFrame) -> DataFrame:
     return clean.any_equal(cleaned, "loan_status", SETTLED_STATUSES)
 
 
-def encode_loans(settled: DataFrame) -> DataFrame:
+def encode_loans(settled: DataFrame, *, as_vectors: bool = False) -> DataFrame:
     """Index, one-hot and ordinal columns, the label, and the class weight. The levels of all ten
-    categorical columns come from one pass."""
+    categorical columns come from one pass.
+
+    ``as_vectors`` keeps the indicators of a category together in one sparse vector column, the form
+    the feature vectors are made from; otherwise every indicator is a column of its own.
+    """
     indexed = [c for c in LOAN_INDEXED_COLUMNS if c in settled.columns]
     flagged = [c for c in LOAN_ONE_HOT_COLUMNS if c in settled.columns]
     levels = features.category_levels(settled, indexed + flagged)
-    df = features.index_strings(settled, indexed, levels)
-    df = features.one_hot(df, flagged, levels)
-    df = clean.add_employment_years(df)
-    df = clean.drop_columns(df, indexed + flagged + ["emp_length"])
+    df = clean.drop_columns(features.index_strings(settled, indexed, levels), indexed)
+    if as_vectors:
+        df = features.one_hot_vectors(df, flagged, levels)
+    else:
+        df = clean.drop_columns(features.one_hot(df, flagged, levels), flagged)
+    df = clean.drop_columns(clean.add_employment_years(df), ["emp_length"])
     df = clean.rename_to_end(df, "isDefault", LABEL_COLUMN)
     df = features.add_class_weights(df)
     return clean.drop_columns(df, LOAN_UNUSED_COLUMNS)
 
 
-def loan_vectors(encoded: DataFrame, *, key: str | None = None, compat: bool = False) -> tuple[DataFrame, list[str]]:
-    """Key, label columns, weight and the feature vector, written once for all model fits.
+def loan_vectors(
+    cleaned: DataFrame, *, key: str | None = None, compat: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """Key, label columns, weight and the feature vector of the settled loans, and the feature names.
 
-    ``compat`` keeps the weight among the features and the third level of the label.
+    The settled loans are written first, because levels, class share and encoding each read them; the
+    vectors are written next, because every model fit passes over them several times. ``compat``
+    keeps the weight among the features and the third level of the label.
     """
     keys = [key] if key else []
-    inputs = features.feature_names(encoded, keys, keep_weight=compat)
-    df = features.assemble(encoded, inputs)
+    encoded = encode_loans(stage(settled_loans(cleaned), "settled-loans", rebalance=True), as_vectors=True)
+    df = features.assemble(encoded, features.feature_names(encoded, keys, keep_weight=compat))
     df = features.index_label(df, unknown="keep" if compat else "error")
-    narrow = df.select(*keys, LABEL_COLUMN, WEIGHT_COLUMN, "label", "features")
-    return stage(narrow, "vectors"), inputs
+    vectors = stage(df.select(*keys, LABEL_COLUMN, WEIGHT_COLUMN, "label", "features"), "vectors")
+    return vectors, [name for _, name in features.vector_attributes(vectors)]
 
 
 def select_loan_features(vectors: DataFrame, train: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,8 +95,7 @@ def select_loan_features(vectors: DataFrame, train: DataFrame) -> tuple[DataFram
 
 def loan_study(raw: DataFrame, *, key: str = "id", compat: bool = False) -> dict[str, DataFrame]:
     """Model name -> one-row scorecard on the test part."""
-    cleaned = stage(clean_loans(raw, keep=[key]), "clean-loans")
-    vectors, _ = loan_vectors(encode_loans(settled_loans(cleaned)), key=key, compat=compat)
+    vectors, _ = loan_vectors(clean_loans(raw, keep=[key]), key=key, compat=compat)
     train, test = features.split_by_key(vectors, key)
     estimators = {
         "logistic_regression": models.logistic_regression(),

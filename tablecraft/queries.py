@@ -77,8 +77,7 @@ def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    cleaned = loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"])
-    return loan_plan.loan_vectors(loan_plan.encode_loans(loan_plan.settled_loans(cleaned)), key="id")
+    return loan_plan.loan_vectors(loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"]), key="id")
 
 
 # --- sources and sinks -------------------------------------------------------------------------
