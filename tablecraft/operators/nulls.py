@@ -9,26 +9,28 @@ from pyspark.sql import types as T
 from tablecraft.functions import is_missing
 
 
-def _counts(df: DataFrame, nan_is_missing: bool) -> list:
-    return [
-        F.count_if(is_missing(f.name, f.dataType, nan_is_missing)).alias(f.name) for f in df.schema.fields
+def _counted(df: DataFrame, nan_is_missing: bool) -> DataFrame:
+    """``(column, null_count, row_count)``, one aggregate over one scan."""
+    facts = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.count_if(is_missing(f.name, f.dataType, nan_is_missing)).alias("null_count"),
+            F.count(F.lit(1)).alias("row_count"),
+        )
+        for f in df.schema.fields
     ]
+    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
 
 
 def null_counts(df: DataFrame, *, sparse: bool = False, nan_is_missing: bool = False) -> DataFrame:
     """``(column, null_count)``; with ``sparse`` the columns without a null are left out."""
-    counts = df.agg(*_counts(df, nan_is_missing)).unpivot([], list(df.columns), "column", "null_count")
+    counts = _counted(df, nan_is_missing).drop("row_count")
     return counts.where("null_count > 0") if sparse else counts
 
 
 def sparse_columns(df: DataFrame, fraction: float = 0.5) -> DataFrame:
     """``(column, null_count, row_count)`` of the columns with more than ``fraction`` nulls."""
-    counted = df.agg(F.count(F.lit(1)).alias("__rows"), *_counts(df, False))
-    return (
-        counted.unpivot(["__rows"], list(df.columns), "column", "null_count")
-        .where(F.col("null_count") > F.col("__rows") * F.lit(float(fraction)))
-        .select("column", "null_count", F.col("__rows").alias("row_count"))
-    )
+    return _counted(df, False).where(F.col("null_count") > F.col("row_count") * F.lit(float(fraction)))
 
 
 def drop_sparse(df: DataFrame, fraction: float = 0.5) -> DataFrame:

@@ -79,7 +79,7 @@ def loan_vectors(
     keeps the weight among the features and the third level of the label.
     """
     keys = [key] if key else []
-    encoded = encode_loans(stage(settled_loans(cleaned), "settled-loans", rebalance=True), as_vectors=True)
+    encoded = encode_loans(stage(settled_loans(cleaned), "settled-loans", rebalance_by=key), as_vectors=True)
     df = features.assemble(encoded, features.feature_names(encoded, keys, keep_weight=compat))
     df = features.index_label(df, unknown="keep" if compat else "error")
     vectors = stage(df.select(*keys, LABEL_COLUMN, WEIGHT_COLUMN, "label", "features"), "vectors")

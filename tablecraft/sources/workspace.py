@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablecraft.sources.files import write_parquet
 
@@ -32,15 +33,15 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tablecraft/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, *, rebalance: bool = False) -> DataFrame:
+def stage(df: DataFrame, name: str, *, rebalance_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and go on from the written table.
 
     This cuts the lineage: a lost executor costs a re-read of some files, not a re-run of the plan
-    behind them. Column metadata (attribute names of vectors) is kept. ``rebalance`` first spreads
-    the rows evenly over files of the advisory partition size; that is one more shuffle, and pays
-    for a table that an iterative fit reads many times.
+    behind them. Column metadata (attribute names of vectors) is kept. ``rebalance_by`` names a
+    unique column by which the rows are first spread evenly over files of the advisory partition
+    size; that is one more shuffle, and pays for a table that an iterative fit reads many times.
     """
     spark = df.sparkSession
     path = working_path(spark, name)
-    write_parquet(df.hint("rebalance") if rebalance else df, path)
+    write_parquet(df.hint("rebalance", F.col(rebalance_by)) if rebalance_by else df, path)
     return spark.read.schema(df.schema).parquet(path)
