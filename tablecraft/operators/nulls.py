@@ -75,5 +75,6 @@ def fill_zero(df: DataFrame) -> DataFrame:
             fills[f.name] = F.coalesce(F.col(f.name), F.lit("0"))
         elif isinstance(f.dataType, T.NumericType):
             zero = F.lit(0).cast(f.dataType)
-            fills[f.name] = F.when(is_missing(f.name, f.dataType, True), zero).otherwise(F.col(f.name))
+            known = F.coalesce(F.col(f.name), zero)
+            fills[f.name] = F.nanvl(known, zero) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else known
     return df.withColumns(fills)

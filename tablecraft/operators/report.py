@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecraft.constants import BUYING_EVENTS, CART, PURCHASE, VIEW
-from tablecraft.functions import day_text, whole_percent
+from tablecraft.functions import whole_percent
 
 
 def value_counts(df: DataFrame, column: str, *, keep_null: bool = True, name: str = "count") -> DataFrame:
@@ -30,11 +31,14 @@ def visitors_by_day(
     """``(day, visitors)``: distinct users per day in order of the day.
 
     Spark first groups by (day, user), which spreads a busy day over all tasks, and then counts.
+    The key is the date where the time is a timestamp; it becomes text after the aggregation.
     ``approximate`` counts with a sketch and needs no shuffle of users.
     """
-    day = day_text(time, df.schema[time].dataType).alias("day")
+    kind = df.schema[time].dataType
+    key = F.substring(time, 1, 10) if isinstance(kind, T.StringType) else F.to_date(time)
     distinct = F.approx_count_distinct(user) if approximate else F.count_distinct(user)
-    return df.groupBy(day).agg(distinct.alias("visitors")).orderBy("day")
+    counted = df.groupBy(key.alias("day")).agg(distinct.alias("visitors"))
+    return counted.withColumn("day", F.col("day").cast("string")).orderBy("day")
 
 
 def column_counts(df: DataFrame, key: str) -> DataFrame:
@@ -87,10 +91,10 @@ def conversion_rates(df: DataFrame, event_type: str = "event_type") -> DataFrame
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:
-    """``(column, count, share_pct)``; the total is a scalar subquery over the same column."""
-    known = df.where(F.col(column).isNotNull())
-    total = known.agg(F.count(F.lit(1)).alias("total")).scalar()
-    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    """``(column, count, share_pct)``; the total is a scalar subquery over the grouped counts, whose
+    shuffle Spark reuses."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    total = counts.agg(F.sum("count").alias("total")).scalar()
     return counts.withColumn("share_pct", whole_percent(F.col("count"), total)).orderBy(F.desc("count"), column)
 
 

@@ -136,6 +136,7 @@ LEVELS = {
     "purpose": [(t, t) for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")],
     "addr_state": [(f"NATION_{i}", f"NATION_{i}") for i in range(25)],
 }
+SPLIT = "cast(concat('0x', substr(md5(concat('1395:', id)), 1, 8)) as bigint) % 1000 < 700"
 INDEXED = ["term", "initial_list_status", "application_type", "pymnt_plan"]
 
 
@@ -216,6 +217,16 @@ select round(wrong / total::double, 9) as ratio_wrong, round(correct / total::do
   round(100 * tp / (tp + fn)::double, 9) as sensitivity, round(100 * tn / (tn + fp)::double, 9) as specificity
 from ({counts})"""
 
+_WEIGHTED_F1 = """
+select round(sum(actual * case when hits = 0 then 0 else 2.0 * (hits / predicted) * (hits / actual)
+    / (hits / predicted + hits / actual) end) / sum(actual), 9) as weighted_f1
+from (
+  select c.label, cast(count(*) filter (where p.label = c.label) as double) as actual,
+    cast(count(*) filter (where p.prediction = c.label) as double) as predicted,
+    cast(count(*) filter (where p.label = c.label and p.prediction = c.label) as double) as hits
+  from predicted p, (select distinct label from predicted) c group by c.label
+)"""
+
 _RANKED = """
 groups as (
   select score, cast(sum(case when label = 0 then 1 else 0 end) as double) as pos,
@@ -274,8 +285,8 @@ def _encoded() -> str:
             'as double) as label from settled group by "isDefault")',
             f"""encoded as (select id, label, case when "isDefault" = 0 then r else 1 - r end as weight,
             {", ".join(parts)} from settled join label_levels using ("isDefault") cross join share {joins})""",
-            """train as (select * from encoded where
-            cast(concat('0x', substr(md5(concat('1395:', id)), 1, 8)) as bigint) % 1000 < 700)""",
+            f"train as (select * from encoded where {SPLIT})",
+            f"test as (select * from encoded where not ({SPLIT}))",
         ]
     )
 
@@ -290,22 +301,53 @@ def _feature_names() -> list[str]:
 
 
 def _bayes() -> str:
+    """The parameters of naive Bayes: smoothed logs of the class shares and of the weighted sums."""
     names = _feature_names()
     sums = ", ".join(f"sum(weight * {n}) as {n}" for n in names)
     return _with(LOANS, CLEANED, _encoded()) + f"""
 , sums as (select label, sum(weight) as mass, {sums} from train group by label),
 long as (select label, feature, total from sums unpivot (total for feature in ({", ".join(names)}))),
 theta as (
-  select label as "class", feature,
-    round(ln(total + 50) - ln(sum(total) over (partition by label) + 50 * {len(names)}), 6) as log_probability
+  select label as class, feature,
+    ln(total + 50) - ln(sum(total) over (partition by label) + 50 * {len(names)}) as log_probability
   from long
-)
-select * from theta
+),
+prior as (select label as class, ln(mass + 50) - ln(sum(mass) over () + 50 * count(*) over ()) as log_probability from sums)
+"""
+
+
+def _bayes_parameters() -> str:
+    return _bayes() + """
+select class as "class", feature, round(log_probability, 6) as log_probability from theta
 union all
-select label, '(share)', round(ln(mass + 50) - ln(sum(mass) over () + 50 * count(*) over ()), 6) from sums"""
+select class, '(share)', round(log_probability, 6) from prior"""
+
+
+def _bayes_card() -> str:
+    """Score the test rows with those parameters and make every figure of the scorecard."""
+    long = ", ".join(_feature_names())
+    ratios = _RATIOS.format(counts=_CONFUSION_RIGHT)
+    return _bayes() + f"""
+, numbered as (select row_number() over (order by id) as line, * exclude (id) from test),
+entries as (select line, label, feature, x from numbered unpivot (x for feature in ({long}))),
+scores as (
+  select label, sum(case when class = 0 then x * log_probability end) as s0,
+    sum(case when class = 1 then x * log_probability end) as s1
+  from entries join theta using (feature) group by line, label
+),
+posterior as (
+  select label, s0 + (select log_probability from prior where class = 0) as s0,
+    s1 + (select log_probability from prior where class = 1) as s1 from scores
+),
+predicted as (
+  select label, exp(s0 - greatest(s0, s1)) / (exp(s0 - greatest(s0, s1)) + exp(s1 - greatest(s0, s1))) as score,
+    case when s0 >= s1 then 0.0::double else 1.0::double end as prediction
+  from posterior
+),{_RANKED}
+select * from ({_CONFUSION_RIGHT}), ({ratios}), ({_WEIGHTED_F1}),
+  (select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 6) as auc from ranked)"""
 
 
-SPLIT = "cast(concat('0x', substr(md5(concat('1395:', id)), 1, 8)) as bigint) % 1000 < 700"
 DESCRIBED = ["product_id", "category_id", "price", "user_id"]
 
 ORACLE_SQL: dict[str, str] = {
@@ -443,19 +485,12 @@ select id, "ClassLable", idx as label from labelled join (
   from labelled group by "ClassLable") using ("ClassLable")""",
     "split_hash": _with(LOANS, LABELLED) + f"select id, {SPLIT} as in_train from labelled",
     # models
-    "nb_parameters": _bayes(),
+    "nb_parameters": _bayes_parameters(),
+    "model_nb": _bayes_card(),
     # evaluation
     "metric_accuracy": _with(LOANS, PREDICTED)
     + "select count(*) filter (where label = prediction)::double / count(*) as accuracy from predicted",
-    "metric_weighted_f1": _with(LOANS, PREDICTED) + """
-select round(sum(actual * case when hits = 0 then 0 else 2.0 * (hits / predicted) * (hits / actual)
-    / (hits / predicted + hits / actual) end) / sum(actual), 9) as weighted_f1
-from (
-  select c.label, cast(count(*) filter (where p.label = c.label) as double) as actual,
-    cast(count(*) filter (where p.prediction = c.label) as double) as predicted,
-    cast(count(*) filter (where p.label = c.label and p.prediction = c.label) as double) as hits
-  from predicted p, (select distinct label from predicted) c group by c.label
-)""",
+    "metric_weighted_f1": _with(LOANS, PREDICTED) + _WEIGHTED_F1,
     "confusion_counts": _with(LOANS, PREDICTED) + _CONFUSION_RIGHT,
     "confusion_counts_compat": _with(LOANS, PREDICTED) + _CONFUSION_COMPAT,
     "classification_metrics": _with(LOANS, PREDICTED) + _RATIOS.format(counts=_CONFUSION_RIGHT),

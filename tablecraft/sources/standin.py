@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table with the nine shop columns plus ``event_id``, the order key."""
-    events = table(spark, sf_dir, "events")
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint")
+    k = F.col("k")
+    # A column of its own, so that the pattern runs once per row and not once per use.
+    events = table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint"))
     return events.select(
         "event_id",
         F.col("ts").alias("event_time"),
