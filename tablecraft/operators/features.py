@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,11 +101,20 @@ def one_hot_vectors(
 
 
 def add_class_weights(
-    df: DataFrame, label: str = LABEL_COLUMN, name: str = WEIGHT_COLUMN, *, share_of: int = 1
+    df: DataFrame,
+    label: str = LABEL_COLUMN,
+    name: str = WEIGHT_COLUMN,
+    *,
+    share_of: int = 1,
+    levels: list[tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Class 0 weighs r and every other class 1 - r, r being the share of defaults (label 1) in all
-    labelled rows. ``share_of=0`` takes the share of the other class instead."""
-    share = df.agg(F.avg((F.col(label) == share_of).cast("int")).alias("share")).scalar()
+    labelled rows. ``share_of=0`` takes the share of the other class instead. The share is a scalar
+    subquery, or comes from known ``levels`` of the label without another pass."""
+    if levels:
+        share = F.lit(dict(levels).get(str(share_of), 0) / sum(n for _, n in levels))
+    else:
+        share = df.agg(F.avg((F.col(label) == share_of).cast("int")).alias("share")).scalar()
     return df.withColumn(name, F.when(F.col(label) == 0, share).otherwise(1 - share))
 
 
@@ -121,14 +130,19 @@ def assemble(df: DataFrame, inputs: list[str], name: str = "features", *, on_nul
     return VectorAssembler(inputCols=inputs, outputCol=name, handleInvalid=on_null).transform(df)
 
 
-def index_label(df: DataFrame, source: str = LABEL_COLUMN, name: str = "label", *, unknown: str = "error") -> DataFrame:
+def index_label(
+    df: DataFrame,
+    source: str = LABEL_COLUMN,
+    name: str = "label",
+    *,
+    unknown: str = "error",
+    levels: list[tuple[str, int]] | None = None,
+) -> DataFrame:
     """Label index: the most frequent class becomes 0.0. With ``unknown="keep"`` the label gets a
-    third level, and some classifiers then train three classes."""
-    if unknown == "keep":
-        return StringIndexer(inputCol=source, outputCol=name, handleInvalid="keep").fit(df).transform(df)
-    levels = category_levels(df, [source])
+    third level, and some classifiers then train three classes. Known ``levels`` save a pass."""
+    known = levels or category_levels(df, [source])[source]
     model = StringIndexerModel.from_labels(
-        [level for level, _ in levels[source]], inputCol=source, outputCol=name, handleInvalid=unknown
+        [level for level, _ in known], inputCol=source, outputCol=name, handleInvalid=unknown
     )
     return model.transform(df)
 

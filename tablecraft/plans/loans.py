@@ -48,16 +48,23 @@ def settled_loans(cleaned: DataFrame) -> DataFrame:
     return clean.any_equal(cleaned, "loan_status", SETTLED_STATUSES)
 
 
-def encode_loans(settled: DataFrame, *, as_vectors: bool = False) -> DataFrame:
-    """Index, one-hot and ordinal columns, the label, and the class weight. The levels of all ten
-    categorical columns come from one pass.
+def loan_levels(settled: DataFrame) -> dict[str, list[tuple[str, int]]]:
+    """Levels and counts of the ten categorical columns and of the label, from one pass."""
+    columns = LOAN_INDEXED_COLUMNS + LOAN_ONE_HOT_COLUMNS + ["isDefault"]
+    return features.category_levels(settled, [c for c in columns if c in settled.columns])
+
+
+def encode_loans(
+    settled: DataFrame, levels: dict[str, list[tuple[str, int]]] | None = None, *, as_vectors: bool = False
+) -> DataFrame:
+    """Index, one-hot and ordinal columns, the label, and the class weight.
 
     ``as_vectors`` keeps the indicators of a category together in one sparse vector column, the form
     the feature vectors are made from; otherwise every indicator is a column of its own.
     """
+    levels = levels or loan_levels(settled)
     indexed = [c for c in LOAN_INDEXED_COLUMNS if c in settled.columns]
     flagged = [c for c in LOAN_ONE_HOT_COLUMNS if c in settled.columns]
-    levels = features.category_levels(settled, indexed + flagged)
     df = clean.drop_columns(features.index_strings(settled, indexed, levels), indexed)
     if as_vectors:
         df = features.one_hot_vectors(df, flagged, levels)
@@ -65,7 +72,7 @@ def encode_loans(settled: DataFrame, *, as_vectors: bool = False) -> DataFrame:
         df = clean.drop_columns(features.one_hot(df, flagged, levels), flagged)
     df = clean.drop_columns(clean.add_employment_years(df), ["emp_length"])
     df = clean.rename_to_end(df, "isDefault", LABEL_COLUMN)
-    df = features.add_class_weights(df)
+    df = features.add_class_weights(df, levels=levels["isDefault"])
     return clean.drop_columns(df, LOAN_UNUSED_COLUMNS)
 
 
@@ -74,14 +81,16 @@ def loan_vectors(
 ) -> tuple[DataFrame, list[str]]:
     """Key, label columns, weight and the feature vector of the settled loans, and the feature names.
 
-    The settled loans are written first, because levels, class share and encoding each read them; the
+    The settled loans are written first, because the levels and the encoding each read them; the
     vectors are written next, because every model fit passes over them several times. ``compat``
     keeps the weight among the features and the third level of the label.
     """
     keys = [key] if key else []
-    encoded = encode_loans(stage(settled_loans(cleaned), "settled-loans", rebalance_by=key), as_vectors=True)
+    settled = stage(settled_loans(cleaned), "settled-loans", rebalance_by=key)
+    levels = loan_levels(settled)
+    encoded = encode_loans(settled, levels, as_vectors=True)
     df = features.assemble(encoded, features.feature_names(encoded, keys, keep_weight=compat))
-    df = features.index_label(df, unknown="keep" if compat else "error")
+    df = features.index_label(df, unknown="keep" if compat else "error", levels=levels["isDefault"])
     vectors = stage(df.select(*keys, LABEL_COLUMN, WEIGHT_COLUMN, "label", "features"), "vectors")
     return vectors, [name for _, name in features.vector_attributes(vectors)]
 
@@ -94,7 +103,11 @@ def select_loan_features(vectors: DataFrame, train: DataFrame) -> tuple[DataFram
 
 
 def loan_study(raw: DataFrame, *, key: str = "id", compat: bool = False) -> dict[str, DataFrame]:
-    """Model name -> one-row scorecard on the test part."""
+    """Model name -> one-row scorecard on the test part.
+
+    Cleaning passes over ``raw`` three times (sparse columns, mean, rows), so a CSV file or a join
+    should be staged first. ``key`` is a unique column that splits and spreads the rows.
+    """
     vectors, _ = loan_vectors(clean_loans(raw, keep=[key]), key=key, compat=compat)
     train, test = features.split_by_key(vectors, key)
     estimators = {

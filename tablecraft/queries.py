@@ -30,7 +30,7 @@ from tablecraft.constants import (
 from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, report
 from tablecraft.plans import loans as loan_plan
 from tablecraft.plans import shop as shop_plan
-from tablecraft.sources import read_csv, read_parquet, write_csv, write_parquet, working_path
+from tablecraft.sources import read_csv, read_parquet, stage, write_csv, write_parquet, working_path
 from tablecraft.sources.standin import loans, shop_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,8 @@ def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    return loan_plan.loan_vectors(loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"]), key="id")
+    raw = stage(loans(spark, sf_dir), "loans")  # a join of five tables, read three times
+    return loan_plan.loan_vectors(loan_plan.clean_loans(raw, keep=["id"]), key="id")
 
 
 # --- sources and sinks -------------------------------------------------------------------------
