@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.functions import day_text, default_label, employment_years, event_day, number_from_text
+from tablecraft.operators.turn import rows_per_entry
 
 
 def drop_columns(df: DataFrame, names: list[str], *, strict: bool = False) -> DataFrame:
@@ -93,17 +94,13 @@ def narrow_plan(df: DataFrame) -> DataFrame:
     """``(column, from_type, to_type)`` per numeric column: the smallest type that strictly holds
     its minimum and maximum. A column without values keeps its type."""
     fields = [f for f in df.schema.fields if isinstance(f.dataType, _NUMBERS)]
-    rows = []
+    entries = []
     for f in fields:
         low, high = F.min(f.name), F.max(f.name)
         current = f.dataType.simpleString()
         to_type = F.when(low.isNull(), current).otherwise(_narrowest(f, low, high))
-        rows.append(
-            F.struct(
-                F.lit(f.name).alias("column"), F.lit(current).alias("from_type"), to_type.alias("to_type")
-            )
-        )
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+        entries.append({"column": F.lit(f.name), "from_type": F.lit(current), "to_type": to_type})
+    return rows_per_entry(df, entries)
 
 
 def narrow_types(df: DataFrame) -> DataFrame:

@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.functions import is_missing
+from tablecraft.operators.turn import rows_per_entry
 
 
 def _counted(df: DataFrame, nan_is_missing: bool) -> DataFrame:
     """``(column, null_count, row_count)``, one aggregate over one scan."""
-    facts = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.count_if(is_missing(f.name, f.dataType, nan_is_missing)).alias("null_count"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
-        for f in df.schema.fields
-    ]
-    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+    return rows_per_entry(
+        df,
+        [
+            {
+                "column": F.lit(f.name),
+                "null_count": F.count_if(is_missing(f.name, f.dataType, nan_is_missing)),
+                "row_count": F.count(F.lit(1)),
+            }
+            for f in df.schema.fields
+        ],
+    )
 
 
 def null_counts(df: DataFrame, *, sparse: bool = False, nan_is_missing: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.operators.ranks import exact_quantiles
+from tablecraft.operators.turn import rows_per_entry
 
 _QUARTILES = [0.25, 0.5, 0.75]
 
@@ -32,37 +33,38 @@ def preview(df: DataFrame, order_by: list[str], rows: int = 20) -> DataFrame:
 
 def column_info(df: DataFrame) -> DataFrame:
     """``(position, column, type, nullable, non_null_count)``, one aggregate over one scan."""
-    facts = [
-        F.struct(
-            F.lit(i).cast("bigint").alias("position"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit(f.nullable).alias("nullable"),
-            F.count(F.col(f"`{f.name}`")).alias("non_null_count"),
-        )
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+    return rows_per_entry(
+        df,
+        [
+            {
+                "position": F.lit(i).cast("bigint"),
+                "column": F.lit(f.name),
+                "type": F.lit(f.dataType.simpleString()),
+                "nullable": F.lit(f.nullable),
+                "non_null_count": F.count(F.col(f"`{f.name}`")),
+            }
+            for i, f in enumerate(df.schema.fields)
+        ],
+    )
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
     names = columns or numeric_columns(df)
-    moments = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(c).alias("count"),
-                    F.avg(c).alias("mean"),
-                    F.stddev_samp(c).alias("std"),
-                    F.min(c).cast("double").alias("min"),
-                    F.max(c).cast("double").alias("max"),
-                )
-                for c in names
-            ]
-        ).alias("moments")
-    ).select(F.inline("moments"))
+    moments = rows_per_entry(
+        df,
+        [
+            {
+                "column": F.lit(c),
+                "count": F.count(c),
+                "mean": F.avg(c),
+                "std": F.stddev_samp(c),
+                "min": F.min(c).cast("double"),
+                "max": F.max(c).cast("double"),
+            }
+            for c in names
+        ],
+    )
     quartiles = (
         exact_quantiles(df, names, _QUARTILES)
         .groupBy("column")
@@ -113,10 +115,10 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None, *, pairs
         y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
         r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         sides = [(a, b)] if a == b else [(a, b), (b, a)]
-        return [F.struct(F.lit(p).alias("a"), F.lit(q).alias("b"), r.alias("r")) for p, q in sides]
+        return [{"a": F.lit(p), "b": F.lit(q), "r": r} for p, q in sides]
 
     passes = []
     for start in range(0, len(pairs), pairs_per_pass):
-        rows = [s for a, b in pairs[start:start + pairs_per_pass] for s in row(a, b)]
-        passes.append(df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
+        entries = [e for a, b in pairs[start:start + pairs_per_pass] for e in row(a, b)]
+        passes.append(rows_per_entry(df, entries))
     return reduce(DataFrame.unionAll, passes)
