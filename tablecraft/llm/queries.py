@@ -5,14 +5,18 @@ Each one applies its operator to the whole table and derives the columns of its
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import chat, exact_dedup, html_text, language, mixing, neighbours, quality, shards
+from tablecraft.llm import chat, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards
 from tablecraft.sources import read_parquet
 
+PIECE_MODEL = os.environ.get("TABLECRAFT_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+SAMPLES = 2  # segmentations sampled for each text
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -86,3 +90,16 @@ def op9_quality(spark, sf_dir):
 def op10_nearest_vectors(spark, sf_dir):
     found = neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
     return found.select("query_id", "rank", "vec_id", "score", "query_row")
+
+
+@query
+def op4_ngram_join(spark, sf_dir):
+    linked = ngram_join.link(_table(spark, sf_dir, "documents"))
+    return linked.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query
+def op3_sampled_pieces(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    encoded = pieces.encode(docs, pieces.load(PIECE_MODEL), SAMPLES, check=True)
+    return encoded.select(F.col("key").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), "log_prob", "log_inclusion", "round_trip", "ids")
