@@ -67,22 +67,22 @@ def op7_main_text(spark, sf_dir):
     return html_text.extract(pages, "page_id", "url").withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-def _held_out(key: str):
+def held_out(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
 @query
 def op8_language(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    model = language.learn(docs, F.coalesce(~_held_out("doc_id"), F.lit(False)))
-    return language.predict(docs, model, "doc_id", F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"))
+    model = language.learn(docs, F.coalesce(~held_out("doc_id"), F.lit(False)))
+    return language.predict(docs, model, "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"))
 
 
 @query
 def op9_quality(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    model = quality.learn(docs, labels, F.coalesce(~_held_out("doc_id"), F.lit(False)))
-    scored = quality.score(docs, model, "doc_id", F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"))
+    model = quality.learn(docs, labels, F.coalesce(~held_out("doc_id"), F.lit(False)))
+    scored = quality.score(docs, model, "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
