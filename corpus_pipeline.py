@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft.llm import exact_dedup, mixing, ngram_join, pieces, quality
-from tablecraft.llm.queries import PIECE_MODEL, SAMPLES
+from tablecraft.llm.queries import PIECE_MODEL, SAMPLES, held_out
 from tablecraft.sources import read_parquet, stage
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. It learns from ``labels``."""
+    """Documents that the classifier does not reject. It learns from the rows of ``labels`` that are not
+    held out."""
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
-    model = quality.learn(docs, labels, F.lit(True))
+    model = quality.learn(docs, labels, F.coalesce(~held_out("doc_id"), F.lit(False)))
     return quality.score(docs, model, *docs.columns, text="text").where("score >= 0.5").drop("score")
 
 
@@ -31,8 +32,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents that n-gram links join, the one with the smallest key. Texts are unique here, so
     the rows to keep are told by key and digest."""
     linked = ngram_join.link(docs)
-    kept = stage(linked.where("key = component").select(F.col("key").alias("__kept")).distinct(), "group-heads")
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    kept = stage(linked.where("key <=> component").select(F.col("key").alias("__kept")).distinct(), "group-heads")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
