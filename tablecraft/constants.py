@@ -61,3 +61,6 @@ VIEW, CART, PURCHASE = "view", "cart", "purchase"
 BUYING_EVENTS = [CART, PURCHASE]
 TOP_BRANDS = 50
 TOP_PURCHASE_BRANDS = 70
+
+# Most levels of a column that may become indicator columns of their own.
+ONE_HOT_LEVELS = 1000

@@ -9,14 +9,17 @@ from pyspark.sql import types as T
 
 def duplicate_mask(df: DataFrame, columns: list[str], key: str, name: str = "is_duplicate") -> DataFrame:
     """Mark every row but the first of each group of equal ``columns``; ``key`` is unique and gives
-    the order. Null equals null.
+    the order, and a repeated key is an error. Null equals null.
 
     A window over the groups would put a third of the table into one task when a third of the rows
     are copies. Instead the first key of each group comes from a grouped minimum, which is combined
-    before the shuffle, and is looked up by ``key``, which spreads evenly.
+    before the shuffle, and is looked up by ``key``, which spreads evenly. The rows of one key lie
+    together after that join, so they are counted without another shuffle.
     """
     firsts = df.groupBy(*columns).agg(F.min(key).alias(key)).select(key, F.lit(True).alias("__first"))
-    return df.join(firsts, key, "left").select(*df.columns, F.col("__first").isNull().alias(name))
+    met = df.join(firsts, key, "left").withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    repeated = F.raise_error(F.lit(f"{key} is not unique")).cast("boolean")
+    return met.select(*df.columns, F.when(F.col("__rows") > 1, repeated).otherwise(F.col("__first").isNull()).alias(name))
 
 
 def drop_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

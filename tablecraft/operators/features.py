@@ -5,37 +5,73 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecraft.constants import LABEL_COLUMN, SPLIT_SEED, TRAIN_SHARE, WEIGHT_COLUMN
+from tablecraft.sources.workspace import stage
 
 
-def category_levels(df: DataFrame, columns: list[str], max_levels: int = 1000) -> dict[str, list[tuple[str, int]]]:
-    """Levels and counts of several categorical columns from one pass: most frequent first, ties in
-    order of the text, nulls left out.
-
-    The levels become column names or index labels, so they have to reach the driver. A column with
-    more than ``max_levels`` values is refused instead of being fetched.
-    """
+def _level_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, level, n)`` of several columns from one pass, nulls left out."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    counts = (
+    return (
         texts.unpivot([], columns, "column", "level")
         .where("level is not null")
         .groupBy("column", "level")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = counts.limit(max_levels * len(columns) + 1).collect()
+
+
+def category_levels(df: DataFrame, columns: list[str], *, most: int) -> dict[str, list[tuple[str, int]]]:
+    """Levels and counts of several categorical columns from one pass: most frequent first, ties in
+    order of the text, nulls left out.
+
+    For levels that become column names or metadata, which have to reach the driver. The caller says
+    how many a column may have; a column with more is refused instead of being fetched.
+    """
+    rows = _level_counts(df, columns).limit(most * len(columns) + 1).collect()
     levels: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
     for row in rows:
         levels[row["column"]].append((row["level"], row["n"]))
-    wide = [c for c in columns if len(levels[c]) > max_levels]
+    wide = [c for c in columns if len(levels[c]) > most]
     if wide:
-        raise ValueError(f"more than {max_levels} levels in {wide}")
+        raise ValueError(f"more than {most} levels in {wide}")
     return {c: sorted(found, key=lambda x: (-x[1], x[0])) for c, found in levels.items()}
 
 
+def number_levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, level, idx)``: levels numbered from 0.0, most frequent first, ties in order of the
+    text. Any number of levels: they are dealt into ranges of that order, numbered inside each range,
+    and shifted by the sizes of the ranges before, one row each. Nothing reaches the driver.
+    """
+    counts = _level_counts(df, columns).withColumn("less", -F.col("n"))
+    order = ["column", "less", "level"]
+    dealt = stage(counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "levels")
+    inside = Window.partitionBy("column", "part").orderBy("less", "level")
+    before = Window.partitionBy("column").orderBy("part")
+    shifts = dealt.groupBy("column", "part").agg(F.count(F.lit(1)).alias("size"))
+    shifts = shifts.withColumn("shift", F.sum("size").over(before) - F.col("size")).drop("size")
+    place = F.row_number().over(inside) - 1
+    return dealt.withColumn("place", place).join(shifts, ["column", "part"]).select(
+        "column", "level", (F.col("place") + F.col("shift")).cast("double").alias("idx")
+    )
+
+
+def _join_levels(df: DataFrame, numbered: DataFrame, column: str, name: str, unknown: str) -> DataFrame:
+    """Look the index of a column up. ``unknown`` texts and nulls: an extra index ("keep"), an error, or
+    a dropped row ("skip")."""
+    own = numbered.where(F.col("column") == column).select(F.col("level").alias("__level"), F.col("idx").alias("__idx"))
+    met = df.join(own, F.col(column).cast("string") == F.col("__level"), "inner" if unknown == "skip" else "left")
+    extra = {
+        "keep": own.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar(),
+        "error": F.raise_error(F.lit(f"{column} holds a null")).cast("double"),
+        "skip": F.lit(None).cast("double"),
+    }[unknown]
+    return met.select(*[df[c] for c in df.columns], F.coalesce("__idx", extra).alias(name))
+
+
 def _place_levels(df: DataFrame, labels: dict[str, list[str]], names: dict[str, str]) -> DataFrame:
     """Index columns from known labels. One model per column: a model of several columns pads the
     shorter label lists with nulls."""
@@ -49,8 +85,14 @@ def index_strings(
     df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]] | None = None, *, suffix: str = "Index"
 ) -> DataFrame:
     """Frequency index per column (0.0 is the most frequent level); null and unknown texts share one
-    extra index. All columns are indexed from one pass, and carry nominal metadata."""
-    levels = levels or category_levels(df, columns)
+    extra index. The levels of all columns are numbered in the cluster from one pass and joined, so a
+    column may have any number of them. Known ``levels`` (few by their nature) save the pass and the
+    join, and the new columns then carry nominal metadata."""
+    if levels is None:
+        numbered = number_levels(df, columns)
+        for c in columns:
+            df = _join_levels(df, numbered, c, f"{c}{suffix}", "keep")
+        return df
     return _place_levels(df, {c: [level for level, _ in levels[c]] for c in columns}, {c: f"{c}{suffix}" for c in columns})
 
 
@@ -69,12 +111,9 @@ def indicator_names(column: str, levels: list[str], taken: set[str]) -> dict[str
     return names
 
 
-def one_hot(
-    df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]] | None = None
-) -> DataFrame:
+def one_hot(df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]]) -> DataFrame:
     """Append one 0/1 column per level, levels in text order, every level kept. A null level gives
-    all zeros. All columns share one pass for their levels and one projection."""
-    levels = levels or category_levels(df, columns)
+    all zeros. The levels become column names; :func:`category_levels` finds them."""
     taken = {c.lower() for c in df.columns}
     flags: list[Column] = []
     for c in columns:
@@ -83,16 +122,13 @@ def one_hot(
     return df.select("*", *flags)
 
 
-def one_hot_vectors(
-    df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]] | None = None
-) -> DataFrame:
+def one_hot_vectors(df: DataFrame, columns: list[str], levels: dict[str, list[tuple[str, int]]]) -> DataFrame:
     """Replace each categorical column by a sparse 0/1 vector of the same name.
 
     The same indicators as :func:`one_hot`, for use in feature vectors: one narrow column instead of
     dozens of wide ones, which keeps the generated code small. The extra index for null and unknown
     texts is the last one, which the encoder drops, so every real level is kept and they give zeros.
     """
-    levels = levels or category_levels(df, columns)
     places = {c: f"__{c}_place" for c in columns}
     labels = {c: sorted(level for level, _ in levels[c]) for c in columns}
     placed = _place_levels(df, labels, places).drop(*columns)
@@ -139,17 +175,21 @@ def index_label(
     levels: list[tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Label index: the most frequent class becomes 0.0. With ``unknown="keep"`` the label gets a
-    third level, and some classifiers then train three classes. Known ``levels`` save a pass."""
-    known = levels or category_levels(df, [source])[source]
+    third level, and some classifiers then train three classes. Known ``levels`` save a pass, and the
+    new column then carries nominal metadata."""
+    if levels is None:
+        return _join_levels(df, number_levels(df, [source]), source, name, unknown)
     model = StringIndexerModel.from_labels(
-        [level for level, _ in known], inputCol=source, outputCol=name, handleInvalid=unknown
+        [level for level, _ in levels], inputCol=source, outputCol=name, handleInvalid=unknown
     )
     return model.transform(df)
 
 
 def split_random(df: DataFrame, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """Random split. Which row falls where depends on the partitioning; see :func:`split_by_key`."""
-    train, test = df.randomSplit([share, 1.0 - share], seed)
+    """Random split. The rows are written first, so that both parts are cut from the same partitions
+    whatever happens to either; which row falls where still depends on how they were partitioned. See
+    :func:`split_by_key` for a split that does not."""
+    train, test = stage(df, "split").randomSplit([share, 1.0 - share], seed)
     return train, test
 
 
@@ -157,7 +197,7 @@ def in_train(key: str, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> Co
     """Whether a key falls into the training part: a fixed function of the key and the seed."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return number % 1000 < round(share * 1000)
+    return number < share * 2.0**32
 
 
 def split_by_key(

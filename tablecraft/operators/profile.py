@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import combinations_with_replacement
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from tablecraft.operators.ranks import exact_quantiles
 from tablecraft.operators.turn import rows_per_entry
 
 _QUARTILES = [0.25, 0.5, 0.75]
+SUMMERS = 8
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -101,24 +103,52 @@ def box_stats(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     )
 
 
-def correlation_matrix(df: DataFrame, columns: list[str] | None = None, *, pairs_per_pass: int = 150) -> DataFrame:
+def _gram(names: list[str], means: list[float]):
+    """Sums of products of all pairs among (value or 0, value squared, known flag), over a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3 * len(names), 3 * len(names)))
+        for batch in batches:
+            known = np.stack([np.asarray(c.is_valid()) for c in batch.columns], axis=1)
+            value = np.stack([c.fill_null(0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            value = np.where(known, value - np.array(means), 0)
+            wide = np.concatenate([value, value**2, known], axis=1)
+            total += wide.T @ wide
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for blob in batch.column("sums"):
+            part = np.frombuffer(blob.as_py())
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+
+def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation in long form ``(a, b, r)``, each pair over the rows where both are known.
 
-    A constant column gives null. All pairs share one scan up to ``pairs_per_pass``; wider tables
-    take more passes, so that no single aggregate grows without bound.
+    A constant column gives null. Two scans at any width: the means, by which the values are centred,
+    and one matrix of sums of products, from which the coefficient of every pair follows. Each task
+    sends one matrix, they are added in ``SUMMERS`` tasks, and that many matrices reach the driver;
+    their size depends on the number of columns only.
     """
     names = columns or numeric_columns(df)
-    pairs = list(combinations_with_replacement(names, 2))
-
-    def row(a: str, b: str):
-        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-        sides = [(a, b)] if a == b else [(a, b), (b, a)]
-        return [{"a": F.lit(p), "b": F.lit(q), "r": r} for p, q in sides]
-
-    passes = []
-    for start in range(0, len(pairs), pairs_per_pass):
-        entries = [e for a, b in pairs[start:start + pairs_per_pass] for e in row(a, b)]
-        passes.append(rows_per_entry(df, entries))
-    return reduce(DataFrame.unionAll, passes)
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    parts = values.mapInArrow(_gram(names, [m or 0.0 for m in means]), "sums binary")
+    parts = parts.repartition(SUMMERS).mapInArrow(_added, "sums binary").collect()
+    n = len(names)
+    total = sum((np.frombuffer(r.sums).reshape(3 * n, 3 * n) for r in parts), np.zeros((3 * n, 3 * n)))
+    both, product = total[2 * n :, 2 * n :], total[:n, :n]
+    sums, squares = total[:n, 2 * n :], total[n : 2 * n, 2 * n :]  # of the first of a pair where both are known
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = squares - sums**2 / both
+        spread[spread <= 1e-12 * squares] = 0
+        r = (product - sums * sums.T / both) / np.sqrt(spread * spread.T)
+    rows = [(a, b, float(r[i, j]) if np.isfinite(r[i, j]) else None) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")

@@ -58,13 +58,16 @@ def user_counts(df: DataFrame, key: str = "brand", user: str = "user_id") -> Dat
 def sums_by(df: DataFrame, key: str, measures: list[str], *, decimals: int | None = None) -> DataFrame:
     """Sum of each measure per ``key``.
 
-    With ``decimals`` the values are summed exactly as decimals of that scale (sums of doubles
-    depend on the order of rows). Overflow gives null instead of an error.
+    Sums of doubles depend on the order of rows. With ``decimals`` fractional measures are summed
+    exactly, each value rounded to that many digits; whole numbers always are. A sum that overflows,
+    or a value too large for 38 digits, gives null instead of an error.
     """
     def total(c: str):
-        value = F.col(c) if decimals is None else F.col(c).cast(f"decimal(18,{decimals})")
-        out = F.try_sum(value)
-        return (out if decimals is None else out.cast("double")).alias(c)
+        if decimals is None or not isinstance(df.schema[c].dataType, T.FractionalType):
+            return F.try_sum(c).alias(c)
+        value = F.col(c).try_cast(f"decimal(38,{decimals})")
+        lost = F.bool_or(value.isNull() & F.col(c).isNotNull())
+        return F.when(~F.coalesce(lost, F.lit(False)), F.try_sum(value).cast("double")).alias(c)
 
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*[total(c) for c in measures])
 
@@ -132,13 +135,13 @@ def activity_per_session(
 ) -> DataFrame:
     """Events per session, for sessions of users with a cart or purchase event.
 
-    Events are counted per (user, session) first; only these counts meet the semi-join, which takes
-    the weight off a user or session with very many events.
+    Events are counted per (user, session) first, with a flag for buying; only these counts meet the
+    semi-join with the users whose flags say that they buy, which takes the weight off a user or
+    session with very many events. Both sides of the join are the same grouped table.
     """
-    counted = (
-        df.where(F.col(session).isNotNull())
-        .groupBy(user, session)
-        .agg(F.count(event_type).alias("n"))
+    counted = df.groupBy(user, session).agg(
+        F.count(event_type).alias("n"), F.bool_or(F.col(event_type).isin(*BUYING_EVENTS)).alias("buys")
     )
-    kept = counted.join(buyers(df, user, event_type), user, "left_semi")
+    buying = counted.where("buys").select(F.col(user).alias("__buyer")).distinct()
+    kept = counted.where(F.col(session).isNotNull()).join(buying, F.col(user) == F.col("__buyer"), "left_semi")
     return kept.groupBy(session).agg(F.sum("n").alias("activity_count"))

@@ -49,14 +49,15 @@ loans as (
 )"""
 
 SHOP = """
-keyed as (select *, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events),
+single as (select *, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events),
+keyed as (select * from single union all select * replace (event_id + 1000000000000 as event_id) from single where k % 20 = 3),
 shop as (
   select
     event_id, ts as event_time,
     case event_type when 'click' then 'cart' else event_type end as event_type,
     k as product_id, k % 10 as category_id,
     case when k % 3 <> 0 then concat('c', cast(k % 10 as varchar)) end as category_code,
-    case when k % 25 <> 0 then concat('Brand#', cast(k % 25 as varchar)) end as brand,
+    case when k % 25 <> 0 then concat('Brand#', cast(k + 100 * (user_id % 3) as varchar)) end as brand,
     value as price, user_id,
     concat(cast(user_id as varchar), '-', strftime(ts, '%Y-%m-%d')) as user_session
   from keyed
@@ -136,7 +137,7 @@ LEVELS = {
     "purpose": [(t, t) for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")],
     "addr_state": [(f"NATION_{i}", f"NATION_{i}") for i in range(25)],
 }
-SPLIT = "cast(concat('0x', substr(md5(concat('1395:', id)), 1, 8)) as bigint) % 1000 < 700"
+SPLIT = "cast(concat('0x', substr(md5(concat('1395:', id)), 1, 8)) as bigint) < 0.7 * 4294967296"
 INDEXED = ["term", "initial_list_status", "application_type", "pymnt_plan"]
 
 
@@ -184,7 +185,7 @@ def _describe(columns: list[str]) -> str:
         f"""select '{c}' as "column", count({c}) as "count", round(avg({c}), 6) as mean,
         round(stddev_samp({c}), 6) as std, cast(min({c}) as double) as "min",
         quantile_cont(cast({c} as double), 0.25) as q25, quantile_cont(cast({c} as double), 0.5) as q50,
-        quantile_cont(cast({c} as double), 0.75) as q75, cast(max({c}) as double) as "max" from events0"""
+        quantile_cont(cast({c} as double), 0.75) as q75, cast(max({c}) as double) as "max" from shop"""
         for c in columns
     )
 
@@ -348,6 +349,13 @@ select * from ({_CONFUSION_RIGHT}), ({ratios}), ({_WEIGHTED_F1}),
   (select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 6) as auc from ranked)"""
 
 
+def _model_facts() -> str:
+    """Test rows and positives; the figures of a fit are held against Spark's evaluators."""
+    return _with(LOANS, CLEANED, _encoded()) + """
+select count(*) as total, count(*) filter (where label = 0) as positives,
+  true as accuracy_agrees, true as weighted_f1_agrees, true as auc_agrees from test"""
+
+
 DESCRIBED = ["product_id", "category_id", "price", "user_id"]
 
 ORACLE_SQL: dict[str, str] = {
@@ -356,6 +364,8 @@ ORACLE_SQL: dict[str, str] = {
     "clean_scan": _with(LOANS, MARKED) + 'select id, loan_amnt, "ClassLable" from marked where "ClassLable" <> 100',
     "events_scan": _with(SHOP) + "select * replace (strftime(event_time, '%Y-%m-%d %H:%M:%S UTC') as event_time) from shop",
     "clean_roundtrip": _with(LOANS, CLEANED) + "select * from cleaned",
+    "csv_scan_inferred": _with(LOANS) + "select id, loan_status, term, loan_amnt, dti, tot_cur_bal, p as policy_code from "
+    "(select *, cast(policy_code as integer) as p from loans)",
     # profiles
     "shape": _with(LOANS) + f"select count(*) as row_count, cast({len(LOAN_NAMES)} as bigint) as column_count from loans",
     "preview": _with(SHOP) + "select * from shop order by event_id limit 20",
@@ -406,6 +416,10 @@ from loans""",
     "emp_length_ordinal": _with(LOANS) + f'select id, emp_length, {YEARS} as "emp_lengthIndex" from loans',
     "event_day_text": _with(SHOP) + "select event_id, event_time, strftime(event_time, '%Y-%m-%d') as event_day from shop",
     "event_date": _with(SHOP) + "select event_id, event_time, cast(event_time as date) as event_date from shop",
+    "event_day_of_text": _with(SHOP) + "select event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S UTC') as event_time, "
+    "strftime(event_time, '%Y-%m-%d') as event_day from shop",
+    "event_date_of_text": _with(SHOP) + "select event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S UTC') as event_time, "
+    "cast(event_time as date) as event_date from shop",
     "narrow_plan": _narrow_plan(),
     "narrow_types": _with(SHOP) + "select * exclude (event_id) replace (cast(product_id as tinyint) as product_id, "
     "cast(category_id as tinyint) as category_id, cast(price as float) as price, cast(user_id as smallint) as user_id) from events0",
@@ -418,9 +432,9 @@ from loans""",
     "active_user_events": _with(SHOP) + "select * from events0 where user_id in "
     "(select user_id from events0 where event_type in ('cart', 'purchase'))",
     # reports
-    "value_counts": _with(LOANS) + _count("loan_status", "loans"),
-    "value_counts_grade": _with(LOANS) + _count("grade", "loans", where="loan_status in ('Fully Paid', 'Charged Off')"),
-    "value_counts_sub_grade": _with(LOANS) + _count("sub_grade", "loans", where="loan_status in ('Fully Paid', 'Charged Off')"),
+    "value_counts": _with(LOANS, CLEANED) + _count("loan_status", "cleaned"),
+    "value_counts_grade": _with(LOANS, CLEANED) + _count("grade", "cleaned", where="loan_status in ('Fully Paid', 'Charged Off')"),
+    "value_counts_sub_grade": _with(LOANS, CLEANED) + _count("sub_grade", "cleaned", where="loan_status in ('Fully Paid', 'Charged Off')"),
     "value_counts_null_key": _with(LOANS) + _count("mths_since_rcnt_il", "loans"),
     "class_counts": _with(LOANS, LABELLED) + _count('"ClassLable"', "labelled"),
     "class_weights": _with(LOANS, LABELLED, WEIGHTED) + 'select id, "ClassLable", "weightColumn" from weighted',
@@ -429,11 +443,14 @@ from loans""",
     "brand_counts": _with(SHOP) + _count("brand", "events0"),
     "visitors_by_date": _with(SHOP) + "select strftime(event_time, '%Y-%m-%d') as day, count(distinct user_id) as visitors "
     "from events0 group by 1",
+    "visitors_by_date_of_text": _with(SHOP) + "select strftime(event_time, '%Y-%m-%d') as day, "
+    "count(distinct user_id) as visitors from events0 group by 1",
     "brand_column_counts": _with(SHOP) + "select brand, "
-    + ", ".join(f"count({n}) as {n}" for n in SHOP_NAMES[1:] if n != "brand")
-    + " from shop where brand is not null group by brand",
+    + ", ".join(f"count({n}) as {n}" for n in SHOP_NAMES[1:] if n not in ("brand", "category_code"))
+    + " from events0 group by brand",
     "brand_user_counts": _with(SHOP) + "select brand, count(user_id) as user_count from events0 group by brand",
-    "user_sums": _with(SHOP) + "select user_id, cast(sum(cast(price as decimal(18,2))) as double) as price from events0 group by user_id",
+    "user_sums": _with(SHOP) + "select user_id, cast(sum(product_id) as bigint) as product_id, cast(sum(category_id) as bigint) as category_id, "
+    "cast(sum(cast(price as decimal(18,6))) as double) as price from events0 group by user_id",
     "mean_price_by_product": _with(SHOP) + "select product_id, round(avg(price), 6) as mean_price from events0 group by product_id",
     "conversion_rates": _with(SHOP) + """, counts as (
   select count(*) filter (where event_type = 'view') as views, count(*) filter (where event_type = 'cart') as carts,
@@ -460,10 +477,10 @@ from events0 group by brand""",
     + ' order by "count" desc, brand limit 70',
     # duplicates
     "duplicate_mask": _with(SHOP) + """
-select event_id, event_type, user_id, price,
-  row_number() over (partition by event_type, user_id, price order by event_id) > 1 as is_duplicate from events0""",
-    "drop_duplicates": _with(SHOP) + "select distinct event_type, user_id, price from events0",
-    "first_per_event_type": _with(SHOP) + _first("event_type"),
+select *, row_number() over (partition by event_time, event_type, product_id, category_id, brand, price, user_id, user_session
+    order by event_id) > 1 as is_duplicate from (select * exclude (category_code) from shop)""",
+    "drop_duplicates": _with(SHOP) + "select distinct * exclude (event_id, category_code) from shop",
+    "first_per_event_type": _with(SHOP) + _first("event_type", source="(select * exclude (category_code) from shop)"),
     "first_per_price": _with(SHOP) + _first("price"),
     "cart_purchase_users": _with(SHOP) + _first("user_id", "event_type in ('cart', 'purchase')"),
     "purchase_brand_counts": _with(SHOP)
@@ -476,6 +493,7 @@ union all select distinct 'user_id', user_id from events0""",
     "string_index": _with(LOANS, *[_index(c, "loans") for c in INDEXED])
     + "select id, " + ", ".join(f'{c}_levels.idx as "{c}Index"' for c in INDEXED)
     + " from loans " + " ".join(f"left join {c}_levels using ({c})" for c in INDEXED),
+    "string_index_wide": _with(LOANS, _index("id", "loans")) + 'select id, id_levels.idx as "idIndex" from loans left join id_levels using (id)',
     "one_hot": _with(LOANS) + "select id, " + ", ".join(f"{flag} as {name}" for flag, name in _flags()) + " from loans",
     "assemble": _with(LOANS) + "select id, loan_amnt as features_0, installment as features_1, annual_inc as features_2, "
     "dti as features_3 from loans",
@@ -484,7 +502,15 @@ select id, "ClassLable", idx as label from labelled join (
   select "ClassLable", cast(row_number() over (order by count(*) desc, "ClassLable") - 1 as double) as idx
   from labelled group by "ClassLable") using ("ClassLable")""",
     "split_hash": _with(LOANS, LABELLED) + f"select id, {SPLIT} as in_train from labelled",
+    "split_random": _with(LOANS, LABELLED) + 'select "ClassLable", count(*) as "count", 0::bigint as overlap from labelled group by 1',
+    "feature_importance": "select * from (values "
+    + ", ".join(f"({i}, '{n.strip(chr(34))}', true)" for i, n in enumerate(_feature_names()))
+    + ") as v(idx, feature, sums_to_one)",
+    "feature_select": _with(LOANS, CLEANED, _encoded()) + "select id, label, true as same_entries from encoded",
     # models
+    "model_lr": _model_facts(),
+    "model_rf": _model_facts(),
+    "model_gbt": _model_facts(),
     "nb_parameters": _bayes_parameters(),
     "model_nb": _bayes_card(),
     # evaluation
@@ -502,3 +528,25 @@ select neg_through / neg_all, pos_through / pos_all, score from ranked""",
     "roc_auc": _with(LOANS, PREDICTED, _RANKED)
     + "select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 9) as auc from ranked",
 }
+
+_REPORT_SQL = {
+    "event_types": ("event_type_counts", "event_type", "count"),
+    "event_type_shares": ("event_type_share", "event_type", "share_pct"),
+    "brands": ("brand_counts", "brand", "count"),
+    "brand_shares": ("brand_share", "brand", "share_pct"),
+    "brand_users": ("brand_user_counts", "brand", "user_count"),
+    "top_brands": ("top_brands", "brand", "count"),
+    "top_purchase_brands": ("top_purchase_brands", "brand", "count"),
+    "visitors": ("visitors_by_date", "day", "visitors"),
+    "activity_per_user": ("activity_per_user", "user_id", "activity_count"),
+    "activity_per_session": ("activity_per_session", "user_session", "activity_count"),
+}
+_RATES = ["views", "carts", "purchases", "view_to_purchase_pct", "view_to_cart_pct", "cart_to_purchase_pct"]
+ORACLE_SQL["shop_reports"] = "\nunion all\n".join(
+    [
+        f"select '{report}' as report, '{value}' as figure, cast({key} as varchar) as key, cast(\"{value}\" as double) as \"value\" "
+        f"from ({ORACLE_SQL[source]})"
+        for report, (source, key, value) in _REPORT_SQL.items()
+    ]
+    + [f"select 'conversion', '{value}', 'all', cast({value} as double) from ({ORACLE_SQL['conversion_rates']})" for value in _RATES]
+)

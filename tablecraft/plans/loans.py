@@ -14,6 +14,7 @@ from tablecraft.constants import (
     LOAN_MINOR_COLUMNS,
     LOAN_ONE_HOT_COLUMNS,
     LOAN_UNUSED_COLUMNS,
+    ONE_HOT_LEVELS,
     SETTLED_STATUSES,
     SPARSE_FRACTION,
     WEIGHT_COLUMN,
@@ -51,7 +52,7 @@ def settled_loans(cleaned: DataFrame) -> DataFrame:
 def loan_levels(settled: DataFrame) -> dict[str, list[tuple[str, int]]]:
     """Levels and counts of the ten categorical columns and of the label, from one pass."""
     columns = LOAN_INDEXED_COLUMNS + LOAN_ONE_HOT_COLUMNS + ["isDefault"]
-    return features.category_levels(settled, [c for c in columns if c in settled.columns])
+    return features.category_levels(settled, [c for c in columns if c in settled.columns], most=ONE_HOT_LEVELS)
 
 
 def encode_loans(

@@ -7,13 +7,16 @@ results whose last digits depend on the order of summation are rounded here, not
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft.constants import (
     BUYING_EVENTS,
+    IMPORTANCE_FLOOR,
     LABEL_COLUMN,
     LOAN_CURRENT_COLUMNS,
     LOAN_FLOAT_COLUMNS,
@@ -21,6 +24,7 @@ from tablecraft.constants import (
     LOAN_INDEXED_COLUMNS,
     LOAN_MINOR_COLUMNS,
     LOAN_ONE_HOT_COLUMNS,
+    ONE_HOT_LEVELS,
     SETTLED_STATUSES,
     SPARSE_FRACTION,
     TOP_BRANDS,
@@ -36,6 +40,19 @@ from tablecraft.sources.standin import loans, shop_events
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Report, its key column, its figures.
+SHOP_REPORTS = [
+    ("event_types", "event_type", "count"),
+    ("event_type_shares", "event_type", "share_pct"),
+    ("brands", "brand", "count"),
+    ("brand_shares", "brand", "share_pct"),
+    ("brand_users", "brand", "user_count"),
+    ("top_brands", "brand", "count"),
+    ("top_purchase_brands", "brand", "count"),
+    ("visitors", "day", "visitors"),
+    ("activity_per_user", "user_id", "activity_count"),
+    ("activity_per_session", "user_session", "activity_count"),
+]
 NUMERIC_LOANS = ["loan_amnt", "installment", "annual_inc", "dti"]
 
 
@@ -52,6 +69,20 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shop_plan.clean_events(shop_events(spark, sf_dir))
 
 
+def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events before nulls are filled, the category text left out."""
+    return clean.drop_columns(shop_events(spark, sf_dir), ["category_code"])
+
+
+def _text_times(events: DataFrame) -> DataFrame:
+    """The same events with the time as text, as in a CSV file."""
+    return events.withColumn("event_time", F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
+
+
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"])
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and 0/1 label of the settled loans."""
     settled = loan_plan.settled_loans(loans(spark, sf_dir, "id", "loan_status"))
@@ -94,6 +125,14 @@ def csv_scan(spark, sf_dir):
     )
 
 
+@query
+def csv_scan_inferred(spark, sf_dir):
+    """Types found by a pass over the files, as a file without a schema is read."""
+    path = working_path(spark, "loans-inferred")
+    write_csv(loans(spark, sf_dir, "id", "loan_status", "term", "loan_amnt", "dti", "tot_cur_bal", "policy_code"), path)
+    return read_csv(spark, path)
+
+
 @query
 def clean_scan(spark, sf_dir):
     """An earlier cleaned table with a stray index column, an old label, and bad labels."""
@@ -104,9 +143,7 @@ def clean_scan(spark, sf_dir):
 
 @query
 def events_scan(spark, sf_dir):
-    rows = shop_events(spark, sf_dir).withColumn(
-        "event_time", F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
-    )
+    rows = _text_times(shop_events(spark, sf_dir))
     path = working_path(spark, "events-csv")
     write_csv(rows, path)
     return read_csv(spark, path, rows.schema, malformed="fail")
@@ -138,7 +175,7 @@ def column_info(spark, sf_dir):
 
 @query
 def describe(spark, sf_dir):
-    described = profile.describe(_events(spark, sf_dir), ["product_id", "category_id", "price", "user_id"])
+    described = profile.describe(_raw_events(spark, sf_dir), ["product_id", "category_id", "price", "user_id"])
     return _rounded(described, "mean", "std")
 
 
@@ -254,6 +291,16 @@ def event_date(spark, sf_dir):
     return clean.add_event_date(shop_events(spark, sf_dir).select("event_id", "event_time"))
 
 
+@query
+def event_day_of_text(spark, sf_dir):
+    return clean.add_day_text(_text_times(shop_events(spark, sf_dir).select("event_id", "event_time")))
+
+
+@query
+def event_date_of_text(spark, sf_dir):
+    return clean.add_event_date(_text_times(shop_events(spark, sf_dir).select("event_id", "event_time")))
+
+
 @query
 def narrow_plan(spark, sf_dir):
     return clean.narrow_plan(shop_events(spark, sf_dir).select("product_id", "category_id", "price", "user_id"))
@@ -298,18 +345,17 @@ def active_user_events(spark, sf_dir):
 
 @query
 def value_counts(spark, sf_dir):
-    return report.value_counts(loans(spark, sf_dir, "loan_status"), "loan_status")
+    return report.value_counts(_cleaned(spark, sf_dir), "loan_status")
 
 
 @query
 def value_counts_grade(spark, sf_dir):
-    return report.value_counts(loan_plan.settled_loans(loans(spark, sf_dir, "loan_status", "grade")), "grade")
+    return report.value_counts(loan_plan.settled_loans(_cleaned(spark, sf_dir)), "grade")
 
 
 @query
 def value_counts_sub_grade(spark, sf_dir):
-    rows = loan_plan.settled_loans(loans(spark, sf_dir, "loan_status", "sub_grade"))
-    return report.value_counts(rows, "sub_grade")
+    return report.value_counts(loan_plan.settled_loans(_cleaned(spark, sf_dir)), "sub_grade")
 
 
 @query
@@ -348,9 +394,14 @@ def visitors_by_date(spark, sf_dir):
     return report.visitors_by_day(_events(spark, sf_dir))
 
 
+@query
+def visitors_by_date_of_text(spark, sf_dir):
+    return report.visitors_by_day(_text_times(_events(spark, sf_dir)))
+
+
 @query
 def brand_column_counts(spark, sf_dir):
-    return report.column_counts(shop_events(spark, sf_dir).drop("event_id"), "brand")
+    return report.column_counts(_events(spark, sf_dir).drop("event_id"), "brand")
 
 
 @query
@@ -360,7 +411,7 @@ def brand_user_counts(spark, sf_dir):
 
 @query
 def user_sums(spark, sf_dir):
-    return report.sums_by(_events(spark, sf_dir), "user_id", ["price"], decimals=2)
+    return report.sums_by(_events(spark, sf_dir), "user_id", ["product_id", "category_id", "price"], decimals=6)
 
 
 @query
@@ -403,22 +454,36 @@ def top_purchase_brands(spark, sf_dir):
     return report.top_values(shop_plan.purchases(_events(spark, sf_dir)), "brand", TOP_PURCHASE_BRANDS)
 
 
+@query
+def shop_reports(spark, sf_dir):
+    """The reports of the shop study in long form."""
+    made = shop_plan.shop_reports(shop_events(spark, sf_dir))
+    parts = []
+    for name, key, *values in SHOP_REPORTS:
+        for value in values:
+            parts.append(made[name].select(F.lit(name).alias("report"), F.lit(value).alias("figure"), F.col(key).cast("string").alias("key"), F.col(value).cast("double").alias("value")))
+    rates = made["conversion"]
+    for value in rates.columns:
+        parts.append(rates.select(F.lit("conversion").alias("report"), F.lit(value).alias("figure"), F.lit("all").alias("key"), F.col(value).cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- duplicates --------------------------------------------------------------------------------
 
 @query
 def duplicate_mask(spark, sf_dir):
-    rows = _events(spark, sf_dir).select("event_id", "event_type", "user_id", "price")
-    return dedup.duplicate_mask(rows, ["event_type", "user_id", "price"], "event_id")
+    rows = _raw_events(spark, sf_dir)
+    return dedup.duplicate_mask(rows, [c for c in rows.columns if c != "event_id"], "event_id")
 
 
 @query
 def drop_duplicates(spark, sf_dir):
-    return dedup.drop_duplicates(_events(spark, sf_dir).select("event_type", "user_id", "price"))
+    return dedup.drop_duplicates(_raw_events(spark, sf_dir).drop("event_id"))
 
 
 @query
 def first_per_event_type(spark, sf_dir):
-    return dedup.keep_first(_events(spark, sf_dir), ["event_type"], ["event_id"])
+    return dedup.keep_first(_raw_events(spark, sf_dir), ["event_type"], ["event_id"])
 
 
 @query
@@ -449,9 +514,17 @@ def string_index(spark, sf_dir):
     return indexed.drop(*LOAN_INDEXED_COLUMNS)
 
 
+@query
+def string_index_wide(spark, sf_dir):
+    """An index of as many levels as there are rows, or nearly."""
+    return features.index_strings(loans(spark, sf_dir, "id"), ["id"])
+
+
 @query
 def one_hot(spark, sf_dir):
-    flagged = features.one_hot(loans(spark, sf_dir, "id", *LOAN_ONE_HOT_COLUMNS), LOAN_ONE_HOT_COLUMNS)
+    rows = loans(spark, sf_dir, "id", *LOAN_ONE_HOT_COLUMNS)
+    levels = features.category_levels(rows, LOAN_ONE_HOT_COLUMNS, most=ONE_HOT_LEVELS)
+    flagged = features.one_hot(rows, LOAN_ONE_HOT_COLUMNS, levels)
     return flagged.drop(*LOAN_ONE_HOT_COLUMNS)
 
 
@@ -470,10 +543,14 @@ def label_index(spark, sf_dir):
 
 @query
 def split_random(spark, sf_dir):
-    """Rows per part and class; which row falls where depends on the partitioning."""
-    train, test = features.split_random(_labelled(spark, sf_dir))
-    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return both.groupBy("part", LABEL_COLUMN).agg(F.count(F.lit(1)).alias("count"))
+    """Rows per class over both parts, and those that are in both. Which row falls where depends on the
+    partitioning."""
+    rows = _labelled(spark, sf_dir).withColumn("row", F.monotonically_increasing_id())
+    train, test = features.split_random(rows)
+    both = train.unionByName(test).groupBy(LABEL_COLUMN).agg(
+        F.count(F.lit(1)).alias("count"), (F.count(F.lit(1)) - F.count_distinct("row")).alias("overlap")
+    )
+    return both
 
 
 @query
@@ -486,15 +563,20 @@ def feature_importance(spark, sf_dir):
     vectors, _ = _vectors(spark, sf_dir)
     train, _ = features.split_by_key(vectors, "id")
     forest = models.importance_forest().fit(train)
-    return features.feature_importance(train, forest.featureImportances)
+    scores = features.feature_importance(train, forest.featureImportances)
+    total = scores.agg(F.sum("score").alias("total")).scalar()
+    return scores.select("idx", "feature", (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @query
 def feature_select(spark, sf_dir):
     vectors, _ = _vectors(spark, sf_dir)
     train, _ = features.split_by_key(vectors, "id")
-    _, sliced = loan_plan.select_loan_features(vectors, train)
-    return sliced.select("id", "label", vector_to_array("features2").alias("features2"))
+    importance, sliced = loan_plan.select_loan_features(vectors, train)
+    chosen = [r["idx"] for r in importance.where(F.col("score") >= IMPORTANCE_FLOOR).orderBy(F.desc("score"), "idx").collect()]
+    original = F.array(*[F.col("all")[i] for i in chosen])
+    both = sliced.select("id", "label", vector_to_array("features").alias("all"), vector_to_array("features2").alias("part"))
+    return both.select("id", "label", (F.col("part") == original).alias("same_entries"))
 
 
 # --- models ------------------------------------------------------------------------------------
@@ -505,9 +587,27 @@ def _scored(spark, sf_dir, estimator) -> DataFrame:
     return models.scorecard(estimator.fit(train).transform(test))
 
 
+def _checked(spark, sf_dir, estimator) -> DataFrame:
+    """What is fixed about an iterative fit: the test rows and their positives, and whether our figures
+    agree with Spark's own evaluators."""
+    vectors, _ = _vectors(spark, sf_dir)
+    train, test = features.split_by_key(vectors, "id")
+    predicted = stage(estimator.fit(train).transform(test).drop("features"), "predictions")
+    multi = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", numBins=0)
+    theirs = {
+        "accuracy": multi.evaluate(predicted, {multi.metricName: "accuracy"}),
+        "weighted_f1": multi.evaluate(predicted, {multi.metricName: "f1"}),
+        "auc": area.evaluate(predicted),
+    }
+    card = models.scorecard(predicted)
+    agree = [(F.abs(F.col(k) - v) < 1e-9).alias(f"{k}_agrees") for k, v in theirs.items()]
+    return card.select("total", (F.col("tp") + F.col("fn")).alias("positives"), *agree)
+
+
 @query
 def model_lr(spark, sf_dir):
-    return _scored(spark, sf_dir, models.logistic_regression())
+    return _checked(spark, sf_dir, models.logistic_regression())
 
 
 @query
@@ -527,12 +627,12 @@ def nb_parameters(spark, sf_dir):
 
 @query
 def model_rf(spark, sf_dir):
-    return _scored(spark, sf_dir, models.random_forest())
+    return _checked(spark, sf_dir, models.random_forest())
 
 
 @query
 def model_gbt(spark, sf_dir):
-    return _scored(spark, sf_dir, models.boosted_trees())
+    return _checked(spark, sf_dir, models.boosted_trees())
 
 
 # --- evaluation --------------------------------------------------------------------------------

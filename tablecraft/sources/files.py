@@ -20,6 +20,7 @@ def read_csv(
     *,
     malformed: str = "drop",
     header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read CSV files.
 
@@ -29,11 +30,13 @@ def read_csv(
     ordinary filter over all typed columns, and every query sees the same rows.
 
     ``malformed="fail"`` raises on the first bad row. Without a schema the types are inferred, which
-    costs one more pass over the files.
+    costs one more pass over the files. ``multi_line`` reads texts with line breaks inside quotes; a
+    file is then read by one task, so it is off unless asked for. A quote inside a quoted text is
+    doubled.
     """
     if malformed not in ("drop", "fail"):
         raise ValueError(f"malformed must be 'drop' or 'fail', not {malformed!r}")
-    reader = spark.read.option("header", header).option("columnPruning", False)
+    reader = spark.read.options(header=header, columnPruning=False, multiLine=multi_line, escape='"')
     if malformed == "fail":
         reader = reader.option("mode", "FAILFAST")
         return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
@@ -56,10 +59,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV files with a header; spaces at the ends of a text are kept."""
+def write_csv(df: DataFrame, path: str, *, line_breaks: str = "fail") -> None:
+    """Write CSV files with a header; spaces at the ends of a text are kept.
+
+    A text with a line break would come back as two malformed rows from a read that splits files, so
+    it is refused; ``line_breaks="keep"`` writes it, to be read with ``multi_line``.
+    """
+    if line_breaks not in ("fail", "keep"):
+        raise ValueError(f"line_breaks must be 'fail' or 'keep', not {line_breaks!r}")
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if line_breaks == "fail":
+        refused = F.raise_error(F.lit("a text holds a line break; write it with line_breaks='keep'"))
+        df = df.withColumns({c: F.when(F.col(c).rlike("[\r\n]"), refused).otherwise(F.col(c)) for c in texts}) if texts else df
     df.write.mode("errorifexists").options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"'
     ).csv(path)
 
 

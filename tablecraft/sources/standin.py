@@ -21,18 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table with the nine shop columns plus ``event_id``, the order key."""
+    """The event table with the nine shop columns plus ``event_id``, the order key. One event in
+    twenty comes twice, the copy with an ``event_id`` of its own."""
     k = F.col("k")
+    copies = F.when(k % 20 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     # A column of its own, so that the pattern runs once per row and not once per use.
     events = table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint"))
+    events = events.withColumn("copy", F.explode(copies))
     return events.select(
-        "event_id",
+        (F.col("event_id") + F.col("copy") * F.lit(10**12)).alias("event_id"),
         F.col("ts").alias("event_time"),
         F.when(F.col("event_type") == "click", "cart").otherwise(F.col("event_type")).alias("event_type"),
         k.alias("product_id"),
         (k % 10).alias("category_id"),
         F.when(k % 3 != 0, F.concat(F.lit("c"), (k % 10).cast("string"))).alias("category_code"),
-        F.when(k % 25 != 0, F.concat(F.lit("Brand#"), (k % 25).cast("string"))).alias("brand"),
+        F.when(k % 25 != 0, F.concat(F.lit("Brand#"), (k + 100 * (F.col("user_id") % 3)).cast("string"))).alias("brand"),
         F.col("value").alias("price"),
         "user_id",
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("user_session"),

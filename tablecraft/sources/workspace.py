@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,26 +9,18 @@ from pyspark.sql import functions as F
 
 from tablecraft.sources.files import write_parquet
 
-_SETTING = "spark.checkpoint.dir"
-
-
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tablecraft-")
-
 
 def working_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
-
-    Executors on other machines must see the path, so a temporary folder is taken only when the
-    setting is missing and the session runs in local mode.
+    """A fresh path below the folder the session names in ``spark.checkpoint.dir``, else below its
+    warehouse. Both are settings of the session that all executors share; no folder of one machine is
+    ever picked here. What is written there is deleted when the session's process ends, because
+    results are lazy and may be read until then.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-        base = _local_base()
-    return f"{base.rstrip('/')}/tablecraft/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tablecraft/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def stage(df: DataFrame, name: str, *, rebalance_by: str | None = None) -> DataFrame:

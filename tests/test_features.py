@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -16,11 +19,11 @@ def colours(spark):
 
 
 def test_levels(colours):
-    assert features.category_levels(colours, ["colour", "mark"]) == {
+    assert features.category_levels(colours, ["colour", "mark"], most=3) == {
         "colour": [("red", 2), ("blue", 1), ("green", 1)], "mark": [("x", 3), ("y", 1)],
     }
     with pytest.raises(ValueError):
-        features.category_levels(colours, ["colour"], max_levels=2)
+        features.category_levels(colours, ["colour"], most=2)
 
 
 def test_index_of_columns_with_different_numbers_of_levels(colours):
@@ -28,8 +31,32 @@ def test_index_of_columns_with_different_numbers_of_levels(colours):
     assert rows(df) == [(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 0.0, 2.0), (4, 3.0, 1.0), (5, 2.0, 0.0)]
 
 
+def test_index_of_very_many_levels(spark):
+    rng = random.Random(4)
+    values = [f"v{rng.randint(0, 4000)}" for _ in range(9000)] + ["hot"] * 3000 + [None] * 5
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(7)
+    counts = Counter(v for v in values if v is not None)
+    want = {v: float(i) for i, (v, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
+    got = {r.v: r.vIndex for r in features.index_strings(df, ["v"]).collect()}
+    assert got == want | {None: float(len(want))}
+
+
+def test_unknown_labels(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "c string")
+    assert rows(features.index_label(df, "c", unknown="skip").select("label")) == [(0.0,), (0.0,)]
+    assert rows(features.index_label(df, "c", unknown="keep").select("label")) == [(0.0,), (0.0,), (1.0,)]
+    with pytest.raises(Exception, match="holds a null"):
+        features.index_label(df, "c").collect()
+
+
+def test_the_share_is_kept_to_the_last_digit(spark):
+    df = spark.range(200_000).select(F.col("id").cast("string").alias("id"))
+    train, test = features.split_by_key(df, "id", share=0.9996)
+    assert 40 < test.count() < 130
+
+
 def test_one_hot(colours):
-    df = features.one_hot(colours, ["colour", "mark"])
+    df = features.one_hot(colours, ["colour", "mark"], features.category_levels(colours, ["colour", "mark"], most=9))
     assert df.columns[3:] == ["colour_blue", "colour_green", "colour_red", "mark_x", "mark_y"]
     total = rows(df.select("id", F.expr("colour_blue + colour_green + colour_red"), F.expr("mark_x + mark_y")))
     assert total == [(1, 1, 1), (2, 1, 1), (3, 1, 0), (4, 0, 1), (5, 1, 1)]
@@ -41,8 +68,9 @@ def test_indicator_names_are_safe_and_unique():
 
 
 def test_one_hot_vectors_hold_the_same_indicators(colours):
-    wide = features.one_hot(colours, ["colour", "mark"])
-    packed = features.one_hot_vectors(colours, ["colour", "mark"])
+    levels = features.category_levels(colours, ["colour", "mark"], most=9)
+    wide = features.one_hot(colours, ["colour", "mark"], levels)
+    packed = features.one_hot_vectors(colours, ["colour", "mark"], levels)
     got = {r.id: list(r.c) + list(r.m) for r in
            packed.select("id", vector_to_array("colour").alias("c"), vector_to_array("mark").alias("m")).collect()}
     want = {r.id: [float(v) for v in r[3:]] for r in wide.collect()}
@@ -77,7 +105,7 @@ def test_null_features_raise_by_default(spark):
 def test_label_index(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)] * 5, f"{LABEL_COLUMN} int")
     assert rows(features.index_label(df).distinct()) == [(0, 0.0), (1, 1.0)]
-    kept = features.index_label(df, unknown="keep")
+    kept = features.index_label(df, unknown="keep", levels=[("0", 5), ("1", 3)])
     assert rows(kept.distinct()) == [(0, 0.0), (1, 1.0)]
     assert len(kept.schema["label"].metadata["ml_attr"]["vals"]) == 3
 

@@ -1,7 +1,9 @@
 """Small literal tables for the traps of each operator."""
 
 import math
+import time
 
+import numpy as np
 import pytest
 
 from tablecraft.operators import clean, dedup, nulls, profile, report
@@ -122,6 +124,12 @@ def test_duplicates_with_null_and_a_large_group(spark):
     assert dedup.drop_duplicates(df, ["a"]).count() == 2
 
 
+def test_a_repeated_key_is_an_error(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k long, a string")
+    with pytest.raises(Exception, match="not unique"):
+        dedup.duplicate_mask(df, ["a"], "k").collect()
+
+
 def test_distinct_values_keep_null(spark):
     df = spark.createDataFrame([(1, 7), (1, None), (2, 7)], "a int, b long")
     assert rows(dedup.distinct_values(df, ["a", "b"])) == [("a", 1), ("a", 2), ("b", 7), ("b", None)]
@@ -147,11 +155,27 @@ def test_constant_and_partly_null_correlation(spark):
     assert got["x", "y"] == pytest.approx(r) == got["y", "x"]
     assert got["x", "x"] == pytest.approx(1.0)
     assert got["x", "c"] is None and got["c", "c"] is None
-    several = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, pairs_per_pass=2).collect()}
+    several = {(r.a, r.b): r.r for r in profile.correlation_matrix(df.repartition(5)).collect()}
     assert several.keys() == got.keys()
     assert all(several[k] == pytest.approx(got[k]) for k in got if got[k] is not None)
 
 
+def test_correlation_of_a_wide_table_takes_two_scans(spark):
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=(200, 159)) + 1e6
+    df = spark.createDataFrame([[float(v) for v in row] for row in values], ", ".join(f"c{i} double" for i in range(159)))
+    start = time.time()
+    got = {(r.a, r.b): r.r for r in profile.correlation_matrix(df).collect()}
+    assert time.time() - start < 40 and len(got) == 159 * 159
+    want = np.corrcoef(values.T)
+    assert got["c3", "c158"] == pytest.approx(want[3, 158]) and got["c7", "c7"] == pytest.approx(1.0)
+
+
+def test_correlation_of_nothing(spark):
+    got = profile.correlation_matrix(spark.createDataFrame([], "x double, y double")).collect()
+    assert len(got) == 4 and all(r.r is None for r in got)
+
+
 def test_box_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 100]] + [(None,)], "v double")
     assert rows(profile.box_stats(df, "v")) == [(2.25, 3.5, 4.75, 1.0, 5.0, 1)]
@@ -193,6 +217,8 @@ def test_sums_overflow_to_null_and_decimals_are_exact(spark):
     df = spark.createDataFrame([(1, 2**62, 0.1), (1, 2**62, 0.2), (None, 1, 1.0)], "u int, n long, p double")
     assert rows(report.sums_by(df, "u", ["n"])) == [(1, None)]
     assert rows(report.sums_by(df, "u", ["p"], decimals=2)) == [(1, 0.3)]
+    large = spark.createDataFrame([(1, 0.125, 3), (1, 1e16, 4), (2, 1e37, 5)], "u int, p double, n int")
+    assert rows(report.sums_by(large, "u", ["p", "n"], decimals=3)) == [(1, 1e16 + 0.125, 7), (2, None, 5)]
 
 
 @pytest.fixture

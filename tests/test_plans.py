@@ -49,7 +49,16 @@ def test_first_rows_are_cut_before_the_shuffle(spark, sf_dir):
 def test_duplicate_mask_joins_on_the_unique_key(spark, sf_dir):
     events = shop_plan.clean_events(shop_events(spark, sf_dir))
     text = plan(dedup.duplicate_mask(events, ["event_type", "user_id"], "event_id"))
-    assert "Window" not in text and "partial_min(event_id" in text
+    assert "partial_min(event_id" in text
+    assert all("windowspecdefinition(event_id" in line for line in text.splitlines() if " Window [" in line)
+
+
+def test_activity_per_session_scans_once(spark, sf_dir):
+    events = shop_plan.clean_events(shop_events(spark, sf_dir))
+    df = report.activity_per_session(events)
+    df.collect()
+    text = plan(df)
+    assert "ReusedExchange" in text or text.count("FileScan") == 1
 
 
 def test_confusion_is_one_aggregate(spark):

@@ -1,9 +1,16 @@
+import subprocess
+import sys
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from tablecraft.sources import read_csv, stage, working_path, write_csv
 from tests.conftest import rows
 
+REPO = Path(__file__).resolve().parent.parent
+
 
 @pytest.fixture
 def messy(tmp_path):
@@ -33,6 +40,23 @@ def test_strict_read_raises(spark, messy):
         read_csv(spark, messy, "a int", malformed="maybe")
 
 
+def test_csv_keeps_line_breaks_quotes_and_empty_texts(spark):
+    given = [(1, 'two\nlines, and "quotes"'), (2, ""), (3, None), (4, "back\\slash \\"), (5, '\\"'), (6, 'a""b')]
+    df = spark.createDataFrame(given, "n int, text string")
+    path = working_path(spark, "breaks")
+    write_csv(df, path, line_breaks="keep")
+    assert rows(read_csv(spark, path, "n int, text string", multi_line=True)) == given
+    assert rows(read_csv(spark, path, "n int, text string", malformed="fail", multi_line=True)) == given
+
+
+def test_line_breaks_are_refused_unless_kept(spark):
+    df = spark.createDataFrame([(1, "two\nlines")], "n int, text string")
+    with pytest.raises(Exception, match="line break"):
+        write_csv(df, working_path(spark, "breaks"))
+    with pytest.raises(ValueError):
+        write_csv(df, working_path(spark, "breaks"), line_breaks="drop")
+
+
 def test_csv_keeps_spaces(spark):
     path = working_path(spark, "spaces")
     write_csv(spark.createDataFrame([(" 36 months", 1)], "term string, n int"), path)
@@ -48,16 +72,34 @@ def test_stage_keeps_attribute_names(spark):
     assert rows(staged.select("a", "b")) == [(2.0, 3.0), (4.0, 5.0)]
 
 
-class _Cluster:
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
-
-
-def test_a_cluster_must_name_its_folder():
-    with pytest.raises(RuntimeError):
-        working_path(_Cluster, "t")
+def test_without_a_checkpoint_folder_the_warehouse_is_used(spark):
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}.get(key, default)
+
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    assert working_path(Session, "t").startswith("file:/shared/warehouse/tablecraft/t-")
+
+
+def test_nothing_is_left_when_the_session_ends(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from tablecraft.sources import stage
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+assert stage(spark.range(5), "numbers").count() == 5
+print(len(list(__import__("pathlib").Path("{tmp_path}").glob("tablecraft/numbers-*"))), "staged")
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=180, cwd=REPO)
+    assert "1 staged" in done.stdout, done.stderr[-500:]
+    for _ in range(20):  # the JVM ends shortly after Python
+        if not list(tmp_path.glob("tablecraft/numbers-*")):
+            break
+        time.sleep(0.5)
+    assert not list(tmp_path.glob("tablecraft/numbers-*"))
 
 
 def test_paths_are_fresh(spark):
