@@ -109,24 +109,34 @@ def mix(docs: DataFrame, size: Column, *, key: str = "doc_id", source: str = "so
         "mix-sizes",
     )
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, limit)
-    last = source_thresholds(sized, targets)
-    plan = targets.join(last, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        F.col("source").alias("planned"),
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("whole"),
-        "last",
-        "with_last",
-    )
-    more = (F.col("draw") < F.col("last")) | ((F.col("draw") == F.col("last")) & F.col("with_last"))
-    copies = F.col("whole") + F.when(F.col("last").isNotNull() & more, 1).otherwise(0)
+    plan = stage(_plan(sized, targets), "mix-plan")
     return (
         sized.join(plan, F.col("source").eqNullSafe(F.col("planned")))
-        .withColumn("copies", copies)
+        .withColumn("copies", _copies(F.col("draw")))
         .select("key", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
 
 
+def _plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row per source: what its documents need to know whether the mix takes them. It is written
+    before it is joined, so Spark knows its size and does not deal the documents out by source."""
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    met = targets.join(source_thresholds(sized, targets), F.col("source").eqNullSafe(F.col("of")), "left")
+    return met.select(
+        F.col("source").alias("planned"),
+        "source_size",
+        "target",
+        whole.cast("long").alias("whole"),
+        F.coalesce("last", F.lit(-1)).alias("last"),
+        F.coalesce("with_last", F.lit(False)).alias("with_last"),
+    )
+
+
+def _copies(draw: Column, prefix: str = "") -> Column:
+    whole, last, with_last = (F.col(prefix + c) for c in ("whole", "last", "with_last"))
+    return whole + F.when((draw < last) | ((draw == last) & with_last), 1).otherwise(0)
+
+
 def take_mix(docs: DataFrame, size: Column, *, key: str = "doc_id", source: str = "source", weights: Sequence[int] = (5, 2, 1), limit: int = 3) -> DataFrame:
     """The documents of the mix, each as often as the mix repeats it, with their own columns.
 
@@ -135,19 +145,7 @@ def take_mix(docs: DataFrame, size: Column, *, key: str = "doc_id", source: str
     """
     sized = stage(docs.select(F.col(source).alias("source"), size.alias("size"), draw_of(F.col(key)).alias("draw")), "mix-sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, limit)
-    plan = stage(
-        targets.join(source_thresholds(sized, targets), F.col("source").eqNullSafe(F.col("of")), "left").select(
-            F.struct(
-                F.col("source").alias("source"),
-                F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("whole"),
-                F.coalesce(F.col("last"), F.lit(-1)).alias("last"),
-                F.coalesce(F.col("with_last"), F.lit(False)).alias("with_last"),
-            ).alias("__mix")
-        ),
-        "mix-plan",
-    )
-    drawn = draw_of(docs[key])
-    more = (drawn < F.col("__mix.last")) | ((drawn == F.col("__mix.last")) & F.col("__mix.with_last"))
-    copies = (F.col("__mix.whole") + F.when(more, 1).otherwise(0)).cast("int")
-    joined = docs.join(plan, docs[source].eqNullSafe(F.col("__mix.source")))
+    plan = stage(_plan(sized, targets), "mix-plan").select(F.struct("*").alias("__mix"))
+    joined = docs.join(plan, docs[source].eqNullSafe(F.col("__mix.planned")))
+    copies = _copies(draw_of(docs[key]), "__mix.").cast("int")
     return joined.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), copies)).alias("__copy")).drop("__copy")
