@@ -77,14 +77,18 @@ class Graph:
 
 def _spread(vectors: np.ndarray, near: list[tuple[float, int]], most: int) -> list[int]:
     """Links for a node: near ones that are nearer to it than to a link already taken, then the rest."""
+    nodes = [n for _, n in near]
+    given = vectors[nodes]
+    norms = np.einsum("ij,ij->i", given, given)
+    apart = (norms[:, None] + norms - 2 * given @ given.T).tolist()
     taken: list[int] = []
     left: list[int] = []
-    for d, n in near:
+    for i, (d, _) in enumerate(near):
         if len(taken) >= most:
             break
-        gap = vectors[taken] - vectors[n]
-        (taken if not taken or d < np.einsum("ij,ij->i", gap, gap).min() else left).append(n)
-    return (taken + left)[:most]
+        row = apart[i]
+        (left if any(row[j] <= d for j in taken) else taken).append(i)
+    return [nodes[i] for i in (taken + left)[:most]]
 
 
 def build(vectors: np.ndarray, seed: int = 5) -> Graph:
