@@ -160,7 +160,7 @@ class Lattice:
         n_bytes = np.ones(n_edges, np.int64)
         odd = np.flatnonzero(piece < 0)
         n_bytes[odd] = [len(spelled[-1 - p]) for p in piece[odd].tolist()]
-        self.id_begin = offsets(n_bytes)
+        self.id_begin, self.id_count = offsets(n_bytes), n_bytes
         self.ids = np.repeat(piece, n_bytes)
         for e in odd.tolist():
             self.ids[self.id_begin[e] : self.id_begin[e + 1]] = vocabulary.byte_ids[list(spelled[-1 - piece[e]])]
@@ -169,8 +169,9 @@ class Lattice:
         """Log of the summed probabilities from every node to the end of its word: all nodes at the
         same distance from their ends at once, from the ends outwards."""
         sums = np.zeros(int(self.last[-1]) + 1 if len(self.last) else 0)
-        order = np.lexsort((self.source, left))
-        ends = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 1), "right")
+        furthest = int(left.max(initial=0))
+        order = np.argsort(left.astype(np.uint16) if furthest < 1 << 16 else left, kind="stable")
+        ends = np.cumsum(np.bincount(left, minlength=furthest + 1))[1:]
         begin = 0
         for end in ends.tolist():
             edges = order[begin:end]
@@ -284,7 +285,8 @@ class _Sampler:
 
 
 def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabulary) -> tuple[Lattice, list[_Sampler]]:
-    """The ``k + 1`` largest perturbed segmentations of every text, fewer where there are no more."""
+    """The ``k`` largest perturbed segmentations of every text, fewer where there are no more, and the
+    next largest perturbed value, which needs no path."""
     marked = [SPACE + t.replace(SPACE, _LITERAL).replace(" ", SPACE) if t else "" for t in texts]
     split = [_WORD.findall(t) for t in marked]
     index, distinct = numbered([w for s in split for w in s])
@@ -297,7 +299,7 @@ def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabul
     cuts = words_at[begins].tolist()
     for s, a, b in zip(samplers, cuts[:-1], cuts[1:]):
         s.add(lattice, edges[a:b], 0, float(-np.log(-np.log(_one(_number(s.seed, 0, 2))))), [], np.zeros(1))
-    for n in range(1, k + 1):
+    for n in range(1, k):
         jobs, nodes, stops, seeds, sizes = [], [], [], [], []
         for i, s in enumerate(samplers):
             top = s.take() if len(s.paths) == n else None
@@ -331,19 +333,23 @@ def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabul
         for (s, of, at, value, barred, turn), a, b in zip(jobs, cuts[:-1], cuts[1:]):
             path = np.concatenate([s.paths[of][:at], [turn], edges[a:b]])
             s.add(lattice, path, at, value, barred, s.logs[of][: at + 1])
+    for s in samplers:
+        top = s.take() if len(s.paths) == k else None
+        if top is not None:
+            s.values.append(top[2])
     return lattice, samplers
 
 
 def ids_of(lattice: Lattice, path: np.ndarray) -> np.ndarray:
     """Vocabulary ids along a path, bytes written out."""
-    begin, count = lattice.id_begin[path], np.diff(lattice.id_begin)[path]
+    begin, count = lattice.id_begin[path], lattice.id_count[path]
     ends = np.cumsum(count)
     return lattice.ids[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count - begin, count)]
 
 
 def spell(ids: list[int], spelled: list[bytes]) -> str:
     """The text of a sequence of ids: the reverse of encoding."""
-    return b"".join(map(spelled.__getitem__, ids))[1:].decode("utf-8", "replace")
+    return b"".join([spelled[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
 def _rows(vocabulary: Vocabulary, k: int, check: bool):
@@ -356,7 +362,7 @@ def _rows(vocabulary: Vocabulary, k: int, check: bool):
                 at, number, log, inclusion, ids, sizes, exact = [], [], [], [], [], [], []
                 for i, s in enumerate(samplers):
                     limit = s.values[k] if len(s.values) > k else _NEVER
-                    for n, (path, logs) in enumerate(zip(s.paths[:k], s.logs)):
+                    for n, (path, logs) in enumerate(zip(s.paths, s.logs)):
                         found = ids_of(lattice, path)
                         over = np.exp(min(logs[-1] - limit, 50.0))
                         at.append(start + i)
