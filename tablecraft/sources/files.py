@@ -36,7 +36,8 @@ def read_csv(
     """
     if malformed not in ("drop", "fail"):
         raise ValueError(f"malformed must be 'drop' or 'fail', not {malformed!r}")
-    reader = spark.read.options(header=header, columnPruning=False, multiLine=multi_line, escape='"')
+    # A null value that no file holds: a field without anything is null, a quoted empty text is not.
+    reader = spark.read.options(header=header, columnPruning=False, multiLine=multi_line, escape='"', nullValue="\0")
     if malformed == "fail":
         reader = reader.option("mode", "FAILFAST")
         return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)

@@ -19,8 +19,10 @@ def working_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/tablecraft/{name}-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return path
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # only a folder that exists can be marked for deletion
+    files.deleteOnExit(folder)
+    return f"{path}/data"
 
 
 def stage(df: DataFrame, name: str, *, rebalance_by: str | None = None) -> DataFrame:

@@ -72,16 +72,16 @@ def test_stage_keeps_attribute_names(spark):
     assert rows(staged.select("a", "b")) == [(2.0, 3.0), (4.0, 5.0)]
 
 
-def test_without_a_checkpoint_folder_the_warehouse_is_used(spark):
+def test_without_a_checkpoint_folder_the_warehouse_is_used(spark, tmp_path):
     class Session:
         class conf:
             @staticmethod
             def get(key, default=None):
-                return {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}.get(key, default)
+                return {"spark.sql.warehouse.dir": f"file:{tmp_path}/warehouse/"}.get(key, default)
 
         _jvm, _jsc = spark._jvm, spark._jsc
 
-    assert working_path(Session, "t").startswith("file:/shared/warehouse/tablecraft/t-")
+    assert working_path(Session, "t").startswith(f"file:{tmp_path}/warehouse/tablecraft/t-")
 
 
 def test_nothing_is_left_when_the_session_ends(tmp_path):
