@@ -79,14 +79,18 @@ def placed_rows(docs: DataFrame, *, key: str, text: str) -> DataFrame:
 
 
 def cuts(placed: DataFrame, shards: int) -> list[tuple[int, int]]:
-    """Where shards 1, 2, ... begin, in bytes and in rows. At most ``shards - 1`` rows and as many runs
-    of equal texts reach the driver."""
+    """Where shards 1, 2, ... begin, in bytes and in rows. At most ``shards`` rows and as many runs of
+    equal texts reach the driver.
+
+    Target ``n`` lies at ``n * total / shards``. All is decided in whole numbers, ``shards`` times as
+    large: the one row of a target has ``start * shards <= n * total < (start + size) * shards``.
+    """
     total = placed.agg(F.sum("size")).first()[0] or 0
     if not total:
         return []
     end = F.col("start") + F.col("size")
-    step = [F.floor(x * shards / total) for x in (F.col("start").cast("decimal(30,0)"), end.cast("decimal(30,0)"))]
-    crossing = placed.where(step[0] != step[1]).select("text_hash", "start", "row", "size")
+    targets_before = [f"({x} * {shards}L + {total - 1}L) div {total}L" for x in ("start", "(start + size)")]
+    crossing = placed.where(" <> ".join(targets_before)).select("text_hash", "start", "row", "size")
     runs = (
         placed.join(F.broadcast(crossing.select("text_hash").distinct()), "text_hash")
         .groupBy("text_hash")
@@ -94,18 +98,18 @@ def cuts(placed: DataFrame, shards: int) -> list[tuple[int, int]]:
     )
     found = []
     known = {r.text_hash: r for r in runs.collect()}
-    rows = sorted(crossing.collect(), key=lambda r: r.start)
+    rows = crossing.collect()
     for n in range(1, shards):
-        aim = total * n / shards
-        at = next((r for r in rows if r.start <= aim <= r.start + r.size), None)
+        aim = total * n
+        at = next((r for r in rows if r.start * shards <= aim < (r.start + r.size) * shards), None)
         if at is None:
-            continue
+            raise RuntimeError(f"no row holds the beginning of shard {n} of {shards}")
         run = known[at.text_hash]
-        if run["last"] - run["first"] <= SLACK * total / shards:
+        if (run["last"] - run["first"]) * shards <= SLACK * total:
             low, high = (run["first"], run.first_row), (run["last"], run.last_row + 1)
         else:
             low, high = (at.start, at.row), (at.start + at.size, at.row + 1)
-        found.append(low if aim - low[0] <= high[0] - aim else high)
+        found.append(low if aim - low[0] * shards <= high[0] * shards - aim else high)
     return found
 
 

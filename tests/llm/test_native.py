@@ -110,6 +110,19 @@ def test_shards_have_near_equal_bytes(spark):
     assert not split
 
 
+def test_no_cut_is_lost_where_a_row_begins_just_below_its_target(spark):
+    shards_, shard_bytes = 16, 2_000_000_000
+    sizes, aims = [], [shard_bytes * n for n in range(1, shards_)]
+    for n in range(shards_):  # the row of each target begins 0, 40, 80, ... bytes below it
+        before = sum(sizes)
+        sizes += [shard_bytes * (n + 1) - before - 40 * n, 1800] if n + 1 < shards_ else [shard_bytes * shards_ - before]
+    starts = [sum(sizes[:i]) for i in range(len(sizes))]
+    placed = spark.createDataFrame([(i, s, z, i) for i, (s, z) in enumerate(zip(starts, sizes))], "text_hash long, start long, size long, row long")
+    found = shards.cuts(placed, shards_)
+    edges = [*zip(starts, range(len(sizes))), (sum(sizes), len(sizes))]
+    assert found == [min(edges, key=lambda e: abs(e[0] - aim)) for aim in aims]
+
+
 def test_copies_of_odd_documents(odd_docs):
     rows = exact_dedup.copy_groups(odd_docs).collect()
     groups = defaultdict(list)
