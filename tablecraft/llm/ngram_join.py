@@ -231,8 +231,9 @@ def _hot_filter(places: DataFrame) -> np.ndarray:
 
 
 def _give(bits: int, hot: np.ndarray):
-    """Packed rows ``bucket, sigs, holders``; the signatures that every class gives, those in the filter
-    last. Long runs within a task become stars at once and only their centre goes on."""
+    """Packed rows ``bucket, sigs, holders, many``; the signatures that every class gives, those in the filter
+    last. Long runs within a task become stars at once; their centre goes on, and their signatures as
+    ``many``, since holders elsewhere have to learn that the signature is frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -264,7 +265,7 @@ def _give(bits: int, hot: np.ndarray):
     return run
 
 
-_GIVEN = "bucket int, sigs binary, holders binary, a binary, b binary"
+_GIVEN = "bucket int, sigs binary, holders binary, many binary, a binary, b binary"
 
 
 def _groups(sig: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -278,11 +279,11 @@ def _groups(sig: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return sig, who, begins
 
 
-def _stars(who: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For groups of more than ``FEW`` holders: pairs with the first holder, and which rows are in such
-    groups but not first."""
+def _stars(who: np.ndarray, begins: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For groups of frequent signatures: pairs with the first holder, and which rows are in such groups
+    but not first."""
     sizes = np.diff(begins)
-    large = np.repeat(sizes > FEW, sizes)
+    large = np.repeat(frequent, sizes)
     first = np.repeat(who[begins[:-1]], sizes)
     rest = large.copy()
     rest[begins[:-1]] = False
@@ -291,25 +292,29 @@ def _stars(who: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _packed(sigs: list[np.ndarray], who: list[np.ndarray], bits: int) -> pa.RecordBatch:
     sig, holder, begins = _groups(np.concatenate(sigs), np.concatenate(who))
-    a, b, rest = _stars(holder, begins)
+    frequent = np.diff(begins) > FEW
+    many = np.repeat(frequent, np.diff(begins))
+    a, b, rest = _stars(holder, begins, frequent)
     pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-    sig, holder = sig[~rest], holder[~rest]
+    sig, holder, many = sig[~rest], holder[~rest], many[~rest]
     runs = _split(sig, bits)
-    rows = [(k, sig[i:j].tobytes(), holder[i:j].tobytes(), b"", b"") for k, i, j in runs]
-    rows.append((runs[0][0] if runs else 0, b"", b"", pairs[:, 0].tobytes(), pairs[:, 1].tobytes()))
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    rows = [(k, sig[i:j].tobytes(), holder[i:j].tobytes(), sig[i:j][many[i:j]].tobytes(), b"", b"") for k, i, j in runs]
+    rows.append((runs[0][0] if runs else 0, b"", b"", b"", pairs[:, 0].tobytes(), pairs[:, 1].tobytes()))
+    kinds = (pa.int32(), *[pa.binary()] * 5)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in _GIVEN.split(", ")])
 
 
 def _met(bucket: pa.Table) -> pa.Table:
-    """Distinct candidate pairs ``a < b`` of a bucket; ``star`` marks pairs of frequent signatures."""
-    sig, who, a, b = (_numbers(bucket.column(c), _U) for c in ("sigs", "holders", "a", "b"))
-    _, who, begins = _groups(sig, who)
-    more_a, more_b, _ = _stars(who, begins)
+    """Distinct candidate pairs ``a < b`` of a bucket; ``star`` marks pairs of frequent signatures, those
+    that have many holders here or had them in one task."""
+    sig, who, many, a, b = (_numbers(bucket.column(c), _U) for c in ("sigs", "holders", "many", "a", "b"))
+    sig, who, begins = _groups(sig, who)
+    frequent = (np.diff(begins) > FEW) | np.isin(sig[begins[:-1]], many)
+    more_a, more_b, _ = _stars(who, begins, frequent)
     star = np.stack([np.concatenate([a, more_a]), np.concatenate([b, more_b])], axis=1)
     sizes, found = np.diff(begins), []
     for n in range(2, FEW + 1):
-        at = begins[:-1][sizes == n]
+        at = begins[:-1][(sizes == n) & ~frequent]
         if len(at):
             i, j = np.triu_indices(n, 1)
             found.append(np.stack([who[at[:, None] + i].ravel(), who[at[:, None] + j].ravel()], axis=1))

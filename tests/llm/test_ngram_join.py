@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablecraft.llm import ngram_join
@@ -109,3 +110,21 @@ def test_similar_sets_share_a_given_signature():
             given = [{x for _, n, sigs in ngram_join.signatures(s) for x in np.sort(sigs)[:n].tolist()} for s in (a, b)]
             assert given[0] & given[1]
             assert ngram_join.sketch_gap(ngram_join.sketch(a), ngram_join.sketch(b)) <= len(a) + len(b) - 2 * both
+
+
+def test_a_signature_frequent_in_one_task_is_frequent_everywhere():
+    few = ngram_join.FEW
+    crowd, other = np.arange(1, few + 7, dtype=np.uint64) << np.uint64(20) | np.uint64(50), np.uint64(999 << 20 | 50)
+    parts = [ngram_join._packed([np.full(len(who), 5 << 40, np.uint64)], [who], 0) for who in (crowd, np.array([other]))]
+    met = ngram_join._met(pa.Table.from_batches(parts)).to_pylist()
+    assert {x for r in met if r["star"] for x in (r["a"], r["b"])} == {*crowd.tolist(), int(other)}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_crowd_in_one_partition_and_a_few_elsewhere(spark, seed):
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [" ".join(passage + [f"s{seed}-{i}-{k}" for k in range(rng.choice((4, 12, 30)))]) for i in range(45)]
+    rows = [(i, t) for i, t in enumerate(rows)]
+    crowd, rest = (spark.createDataFrame(part, "doc_id long, text string").coalesce(1) for part in (rows[:36], rows[36:]))
+    assert found(crowd.union(rest)) == brute(rows)
