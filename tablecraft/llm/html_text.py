@@ -4,8 +4,11 @@ The standard library's parser streams through the page; every block becomes a li
 number of tags in it and the containers around it. Lines inside elements that are never content
 (menus, scripts, forms, ...) or are named like furniture (``class="ad"``) are left out. The ratios of
 text to tags of the other lines are smoothed with a Gaussian, split into two clusters at a threshold,
-and the high cluster says where the content is: the region is the smallest container that holds most
-of the clustered text. All lines of the region belong to the text, short ones too.
+and the high cluster says where the content is: the region is the smallest container that holds all
+clustered lines. All lines of the region belong to the text, short ones too. Where ``article`` or
+``main`` elements hold most of the clustered text, the page itself says where its content is: then only
+the clustered lines in them count, and the region is the smallest such element that holds all of these,
+or else all such elements that hold some.
 
 Defined results: null or empty pages, and pages without text, give an empty text; unclosed and stray
 tags are closed by their surroundings; character references are decoded as browsers do. Every page is
@@ -43,7 +46,8 @@ FURNITURE = frozenset(
     "recommended newsletter subscribe subscription signup login popup modal overlay toolbar pagination pager skip widget complementary contentinfo search".split()
 )
 PAGE_HEADER = frozenset("header topbar".split())
-MOST = 0.6  # share of the clustered text that a smaller container must hold
+BODIES = frozenset(("html", "body", "div", "section", "center", *REGIONS))  # what can be a region
+MOST = 0.6  # share of the clustered text that article and main must hold to be believed
 WIDTH = 1.0  # standard deviation of the smoothing, in lines
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -161,17 +165,20 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = _smoothed([len(text) / tags for text, tags, _ in lines])
     border = _threshold(ratios)
-    weight: dict[int, int] = {}
-    total = 0
-    for (text, _, path), ratio in zip(lines, ratios):
-        if ratio >= border:
-            total += len(text)
-            for number in path:
-                weight[number] = weight.get(number, 0) + len(text)
-    holders = [n for n, w in weight.items() if w >= MOST * total and reader.names[n] not in ("p", "li", "td", "h1", "h2", "h3", "tr")]
-    named = [n for n in holders if reader.names[n] in REGIONS]
-    region = max(named or holders, default=0)
-    return " ".join(text for text, _, path in lines if region in path)
+    clustered = [(len(text), path) for (text, _, path), ratio in zip(lines, ratios) if ratio >= border]
+    clustered = clustered or [(len(text), path) for text, _, path in lines]
+    named = [(n, path) for n, path in clustered if any(reader.names[k] in REGIONS for k in path)]
+    if sum(n for n, _ in named) >= MOST * sum(n for n, _ in clustered):
+        clustered, may = named, frozenset(REGIONS)
+    else:
+        may = BODIES
+    shared = set.intersection(*(set(path) for _, path in clustered))
+    holders = [k for k in shared if reader.names[k] in may]
+    if holders:
+        regions = {max(holders)}
+    else:
+        regions = {next(k for k in path if reader.names[k] in may) for _, path in clustered}
+    return " ".join(text for text, _, path in lines if not regions.isdisjoint(path))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,6 +74,33 @@ def test_furniture_is_left_out():
     assert html_text.main_text("just text &lt; that") == "just text < that"
 
 
+def prose(name, n):
+    return "".join(f"<p>Paragraph {i} of {name} has a good number of words in it, as prose has.</p>" for i in range(n))
+
+
+def said(page):
+    return " ".join(html.unescape(re.sub(r"<[^>]+>", " ", page)).split())
+
+
+def test_divided_main_text_is_whole():
+    parts = f"<h2>First</h2>{prose('one', 13)}", f"<h2>Second</h2>{prose('two', 7)}<p>End.</p>"
+    menu = "<div class='menu'><a href=x>Home</a></div>"
+    both = said("".join(parts))
+    for outer, inner in (("div", "section"), ("div", "div"), ("main", "article"), ("main", "section"), ("article", "div")):
+        page = f"<body>{menu}<{outer} id='content'>{''.join(f'<{inner}>{p}</{inner}>' for p in parts)}</{outer}></body>"
+        assert html_text.main_text(page) == both
+    short = "<div><a href=y>More</a></div>"
+    articles = f"<body>{short}<article>{parts[0]}</article>{short}<article>{parts[1]}</article></body>"
+    assert html_text.main_text(articles) == both
+
+
+def test_one_long_block_does_not_replace_its_article():
+    words = "many words of a long block that goes on " * 30
+    for block in ("<blockquote>{}</blockquote>", "<pre>{}</pre>", "<ul><li>{}</li></ul>", "<table><tr><td>{}</td></tr></table>", "<h4>{}</h4>"):
+        inside = f"<h1>Title</h1>{prose('a', 3)}{block.format(words)}{prose('b', 3)}<p>End.</p>"
+        assert html_text.main_text(f"<body><div class='menu'>Home</div><div>{inside}</div></body>") == said(inside)
+
+
 def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, "text"), (None, "<p>x</p>", None), (1, None, "text")], "page_id long, html string, text string")
     assert sorted((str(r.page_id), r.text) for r in html_text.extract(pages, "page_id").collect()) == [("1", ""), ("1", ""), ("None", "x")]
