@@ -2,7 +2,7 @@
 
 The standard library's parser streams through the page; every block becomes a line with its text, the
 number of tags in it and the containers around it. Lines inside elements that are never content
-(menus, scripts, forms, ...) or are named like furniture (``class="ad"``) are left out. The ratios of
+(menus, scripts, forms, ...) or are block containers named like furniture (``class="ad"``) are left out. The ratios of
 text to tags of the other lines are smoothed with a Gaussian, split into two clusters at a threshold,
 and the high cluster says where the content is: the region is the smallest container that holds all
 clustered lines. All lines of the region belong to the text, short ones too. Where ``article`` or
@@ -39,6 +39,8 @@ REGIONS = ("article", "main")
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
+# Elements that hold a piece of text: their names say what the text is about, not that it is furniture.
+PIECES = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd th caption figcaption blockquote pre address legend summary".split())
 # Words in class, id and role that name furniture.
 FURNITURE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert "
@@ -46,6 +48,12 @@ FURNITURE = frozenset(
     "recommended newsletter subscribe subscription signup login popup modal overlay toolbar pagination pager skip widget complementary contentinfo search".split()
 )
 PAGE_HEADER = frozenset("header topbar".split())
+PAGE = frozenset("site page global top main".split())  # may stand beside those
+# Words that may stand beside furniture: ``main-menu`` is furniture, ``search-methods`` is not.
+BESIDE = frozenset(
+    "main top bottom left right side site page global primary secondary user reader bar box list item items link links button buttons icon icons media "
+    "area wrapper wrap container block panel form section widget slot unit inner outer post posts articles story stories content more".split()
+)
 BODIES = frozenset(("html", "body", "div", "section", "center", *REGIONS))  # what can be a region
 MOST = 0.6  # share of the clustered text that article and main must hold to be believed
 WIDTH = 1.0  # standard deviation of the smoothing, in lines
@@ -76,11 +84,16 @@ class _Lines(HTMLParser):
         inside = any(name in REGIONS for name, _ in self.open)
         if tag in NEVER or (tag in HEADERS and not inside):
             return True
-        if tag in ("html", "body", *REGIONS):
+        if tag in PIECES or tag in ("html", "body", *REGIONS):
             return False
-        said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        words = {w.lower() for w in _NAME.findall(said)}
-        return bool(words & FURNITURE) or (not inside and bool(words & PAGE_HEADER))
+        telling = ("class", "role") if inside else ("class", "id", "role")  # ids in an article are slugs of its titles
+        for name in " ".join(v for k, v in attrs if k in telling and v).split():
+            words = {w.lower() for w in _NAME.findall(name)}
+            if words & FURNITURE and words <= FURNITURE | BESIDE:
+                return True
+            if not inside and words & PAGE_HEADER and words <= PAGE_HEADER | PAGE:
+                return True
+        return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in CLOSES_P:

@@ -101,6 +101,18 @@ def test_one_long_block_does_not_replace_its_article():
         assert html_text.main_text(f"<body><div class='menu'>Home</div><div>{inside}</div></body>") == said(inside)
 
 
+def test_names_of_content_are_not_furniture():
+    parts = """<h2 id="related-work" class="share">Related work</h2><section id="search-methods"><p class="market-share">The share of the market grew.</p></section>
+    <section id="search"><p>How a search is done <span class="code-comment">as a comment says</span> <a class="reply">here</a></p></section>
+    <div class="market-share"><p>A block on the market.</p></div><ul><li class="menu">An item of a list of dishes</li></ul>"""
+    gone = """<div class="share">Tell your friends about this page</div><div class="related-posts"><p>Other things to read here</p></div>
+    <section class="box comments"><p>I have an opinion.</p></section><div role="search">Find something</div>"""
+    for outer in ("article", "main"):
+        assert html_text.main_text(f"<body><{outer}>{parts}{gone}</{outer}></body>") == said(parts)
+    parts = parts.replace('id="search"', 'id="methods"')
+    assert html_text.main_text(f"<body><div class='site-header'>Name</div><div>{parts}{gone}</div></body>") == said(parts)
+
+
 def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, "text"), (None, "<p>x</p>", None), (1, None, "text")], "page_id long, html string, text string")
     assert sorted((str(r.page_id), r.text) for r in html_text.extract(pages, "page_id").collect()) == [("1", ""), ("1", ""), ("None", "x")]
