@@ -38,6 +38,22 @@ def test_odd_conversations_read_back(spark):
     assert chat.conversation_examples(turns.limit(0)).count() == 0
 
 
+def test_long_conversations_are_streamed(spark):
+    """3000 turns: all examples of one would be 2.2 billion characters."""
+    given = {k: [(("user", "assistant")[i % 2], f"{i} " + "long text " * 100) for i in range(3000)] for k in (None, 1)}
+    rows = [(k, i, r, t) for k, turns in given.items() for i, (r, t) in enumerate(turns)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.conversation_examples(turns)
+    assert made.count() == len(rows)
+    found = {r.key: r for r in chat.read_back(made).collect()}
+    assert {k: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for k, r in found.items()} == {k: brute(v) for k, v in given.items()}
+    ends, total = 0, 0
+    for i, (r, t) in enumerate(given[1]):
+        ends += len(f"### {r}: {t}</turn>\n")
+        total += ends if r == "assistant" else 0
+    assert found[1].formatted_chars == found[None].formatted_chars == total > 2**31
+
+
 def test_all_conversations(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").orderBy("conv_id", "turn").collect()
     given = {-7: [("user", r"\### Assistant: </turn> ok"), ("assistant", r"\### Assistant: </turn> ok")]}
