@@ -8,7 +8,7 @@ word by word; the language of a text is the one with the largest mean probabilit
 
 Training takes a documented, bounded sample of labelled rows (``PER_LANGUAGE`` documents a language, a
 few stretches of words each), chosen by a hash of the key, and joins stretches of different documents
-into code-switched sequences. Prediction reads whole texts, slice by slice, and shuffles nothing.
+into code-switched sequences. Texts shorter than a stretch are joined with others of their language. Prediction reads whole texts, slice by slice, and shuffles nothing.
 
 Defined results: ``und`` with score 1 for a text that is null or has no letter, and score 0 where
 nothing could be learned; rows without a language are not learned from; repeated rows get equal
@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import cycle, islice
 
 import numpy as np
 import pyarrow as pa
@@ -177,13 +178,28 @@ def _sequence_gradient(scores: np.ndarray, moves: np.ndarray, labels: np.ndarray
     return truth - posterior, seen - pairs.sum(axis=(0, 1))
 
 
+def filled(stretches: list[tuple[str, list[str]]]) -> list[tuple[str, list[str]]]:
+    """The stretches with all short ones of a language joined and cut anew to ``STRETCH`` words; the last
+    of a language begins again with its first words until it is full."""
+    full = [(lang, ws) for lang, ws in stretches if len(ws) == STRETCH]
+    short: dict[str, list[str]] = {}
+    for lang, ws in stretches:
+        if len(ws) != STRETCH:
+            short.setdefault(lang, []).extend(ws)
+    for lang, ws in short.items():
+        for at in range(0, len(ws), STRETCH):
+            piece = ws[at : at + STRETCH]
+            full.append((lang, [*piece, *islice(cycle(ws), STRETCH - len(piece))]))
+    return full
+
+
 def train(stretches: list[tuple[str, list[str]]], seed: int = 7) -> Crf:
     """Fit the field to ``(language, words)`` stretches, joined two by two into sequences."""
     languages = sorted({lang for lang, _ in stretches})
     counts = Counter(w for _, ws in stretches for w in ws)
     common = [w for w, c in counts.most_common(LEXICON) if c >= 3]
     model = Crf(languages, np.zeros((SIZE, max(len(languages), 1))), np.zeros((len(languages),) * 2), word_hashes(common))
-    full = [(languages.index(lang), ws) for lang, ws in sorted(stretches) if len(ws) == STRETCH]
+    full = [(languages.index(lang), ws) for lang, ws in filled(sorted(stretches))]
     if not full or len(languages) < 2:
         return model
     index, distinct = numbered([w for _, ws in full for w in ws])

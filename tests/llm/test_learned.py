@@ -74,6 +74,25 @@ def test_language_of_odd_documents(odd_docs):
     assert {r.lang_pred for r in language.predict(odd_docs, nothing, "doc_id").collect()} == {"und"}
 
 
+def test_languages_of_short_texts_are_learned(spark):
+    random = np.random.default_rng(4)
+    vocabulary = {"en": "the and with house of".split(), "de": "der und mit haus von".split(), "fr": "le et avec maison dans".split()}
+    lengths = {"en": 60, "de": 3, "fr": 1}
+    rows = [(lang, " ".join(random.choice(words, lengths[lang]))) for lang, words in vocabulary.items() for _ in range(60)]
+    rows += [("zh", text) for text in ("今天天气很好", "我们去学校", "他是我的朋友", "这是一本书") * 15]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    found = language.predict(docs, language.learn(docs, F.lit(True)), "doc_id", "lang").collect()
+    for lang in ("en", "de", "fr", "zh"):
+        assert np.mean([r.lang_pred == lang for r in found if r.lang == lang]) > 0.95, lang
+
+
+def test_short_stretches_are_filled():
+    n = language.STRETCH
+    long, short = [f"l{i}" for i in range(n)], [f"s{i}" for i in range(n + 3)]
+    assert language.filled([("a", long), ("b", short[:5]), ("b", short[5:])]) == [("a", long), ("b", short[:n]), ("b", [*short[n:], *short[: n - 3]])]
+    assert language.filled([("c", ["x"])]) == [("c", ["x"] * n)]
+
+
 def test_quality_gradient_is_that_of_the_loss():
     random = np.random.default_rng(3)
     bags = [random.normal(size=(n, quality.FEATURES)) for n in (1, 3, 2)]
