@@ -48,3 +48,33 @@ with d as (select doc_id, sha256(coalesce(text, '')) as text_sha256 from documen
 g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by 1)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d join g using (text_sha256)
 """
+
+ORACLE_SQL["op12_contamination"] = r"""
+with d as (
+  select doc_id, row_number() over () as row_no,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+b as (
+  select coalesce(item_id::varchar, '') as item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+bw as (
+  select distinct item, least(len(words), 10) as n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') as shown
+  from (select *, unnest(range(1, greatest(len(words) - 10, 0) + 2)) as i from b where len(words) > 0)),
+sizes as (select distinct n from bw),
+dw as (
+  select row_no, i, n, array_to_string(words[i:i + n - 1], ' ') as shown
+  from (select row_no, words, n, unnest(range(1, len(words) - n + 2)) as i from d cross join sizes where len(words) >= n)),
+found as (select row_no, i, n, item from dw join bw using (n, shown)),
+hit as (
+  select row_no, count(distinct place) as n_hit
+  from (select row_no, unnest(range(i, i + n)) as place from (select distinct row_no, i, n from found)) group by row_no),
+items as (
+  select row_no, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+  from (select distinct row_no, item from found) group by row_no)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (row_no) left join items using (row_no)
+"""

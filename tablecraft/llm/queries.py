@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import chat, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards
+from tablecraft.llm import chat, contamination, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards
 from tablecraft.sources import read_parquet
 
 PIECE_MODEL = os.environ.get("TABLECRAFT_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -103,3 +103,16 @@ def op3_sampled_pieces(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     encoded = pieces.encode(docs, pieces.load(PIECE_MODEL), SAMPLES, check=True)
     return encoded.select(F.col("key").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"), "log_prob", "log_inclusion", "round_trip", "ids")
+
+
+@query
+def op12_contamination(spark, sf_dir):
+    found = contamination.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        contamination.hit_words("spans").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
