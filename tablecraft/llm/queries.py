@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import chat, contamination, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards
+from tablecraft.llm import chat, contamination, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards, spelling
 from tablecraft.sources import read_parquet
 
 PIECE_MODEL = os.environ.get("TABLECRAFT_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -116,3 +116,8 @@ def op12_contamination(spark, sf_dir):
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents"), damage=97))
