@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import chat, contamination, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, shards, spelling
+from tablecraft.llm import chat, contamination, exact_dedup, html_text, language, mixing, neighbours, ngram_join, pieces, quality, repair, shards, spelling
 from tablecraft.sources import read_parquet
 
 PIECE_MODEL = os.environ.get("TABLECRAFT_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -121,3 +121,11 @@ def op12_contamination(spark, sf_dir):
 @query
 def op13_spelling(spark, sf_dir):
     return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents"), damage=97))
+
+
+@query
+def op11_repair(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    damaged = repair.damage(turns, key="conv_id", turn="turn", role="role", text="text")
+    keys = turns.select(F.col("conv_id").alias("key"))
+    return repair.report(keys, repair.repair(damaged)).withColumnRenamed("key", "conv_id")
