@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tablecraft.constants import BUYING_EVENTS, CART, PURCHASE, VIEW
 from tablecraft.functions import whole_percent
+from tablecraft.sources.workspace import stage
 
 
 def value_counts(df: DataFrame, column: str, *, keep_null: bool = True, name: str = "count") -> DataFrame:
@@ -137,11 +138,13 @@ def activity_per_session(
 
     Events are counted per (user, session) first, with a flag for buying; only these counts meet the
     semi-join with the users whose flags say that they buy, which takes the weight off a user or
-    session with very many events. Both sides of the join are the same grouped table.
+    session with very many events. Both sides of the join read the grouped table, which is written, so
+    that the events are scanned once.
     """
     counted = df.groupBy(user, session).agg(
         F.count(event_type).alias("n"), F.bool_or(F.col(event_type).isin(*BUYING_EVENTS)).alias("buys")
     )
+    counted = stage(counted, "session-counts")
     buying = counted.where("buys").select(F.col(user).alias("__buyer")).distinct()
     kept = counted.where(F.col(session).isNotNull()).join(buying, F.col(user) == F.col("__buyer"), "left_semi")
     return kept.groupBy(session).agg(F.sum("n").alias("activity_count"))

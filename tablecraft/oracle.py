@@ -157,7 +157,7 @@ def _flags(plain_names: bool = True) -> list[tuple[str, str]]:
     return [
         (f"coalesce(cast({c} = '{level}' as int), 0)", f'"{c}_{name if plain_names else level}"')
         for c, levels in LEVELS.items()
-        for level, name in levels
+        for level, name in sorted(levels)
     ]
 
 
@@ -540,11 +540,15 @@ _REPORT_SQL = {
     "visitors": ("visitors_by_date", "day", "visitors"),
     "activity_per_user": ("activity_per_user", "user_id", "activity_count"),
     "activity_per_session": ("activity_per_session", "user_session", "activity_count"),
+    "user_sums": ("user_sums", "user_id", "product_id"),
+    "user_category_sums": ("user_sums", "user_id", "category_id"),
+    "user_price_sums": ("user_sums", "user_id", "price"),
+    "product_prices": ("mean_price_by_product", "product_id", "mean_price"),
 }
 _RATES = ["views", "carts", "purchases", "view_to_purchase_pct", "view_to_cart_pct", "cart_to_purchase_pct"]
 ORACLE_SQL["shop_reports"] = "\nunion all\n".join(
     [
-        f"select '{report}' as report, '{value}' as figure, cast({key} as varchar) as key, cast(\"{value}\" as double) as \"value\" "
+        f"select '{'user_sums' if source == 'user_sums' else report}' as report, '{value}' as figure, cast({key} as varchar) as key, cast(\"{value}\" as double) as \"value\" "
         f"from ({ORACLE_SQL[source]})"
         for report, (source, key, value) in _REPORT_SQL.items()
     ]

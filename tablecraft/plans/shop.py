@@ -36,7 +36,7 @@ def shop_reports(raw: DataFrame) -> dict[str, DataFrame]:
         "top_purchase_brands": report.top_values(purchases(events), "brand", TOP_PURCHASE_BRANDS),
         "visitors": report.visitors_by_day(events),
         "conversion": report.conversion_rates(events),
-        "user_sums": report.sums_by(events, "user_id", ["price"]),
+        "user_sums": report.sums_by(events, "user_id", ["product_id", "category_id", "price"], decimals=6),
         "product_prices": report.mean_by(events, "product_id", "price", "mean_price"),
         "activity_per_user": report.activity_per_user(events),
         "activity_per_session": report.activity_per_session(events),

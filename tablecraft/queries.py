@@ -52,6 +52,8 @@ SHOP_REPORTS = [
     ("visitors", "day", "visitors"),
     ("activity_per_user", "user_id", "activity_count"),
     ("activity_per_session", "user_session", "activity_count"),
+    ("user_sums", "user_id", "product_id", "category_id", "price"),
+    ("product_prices", "product_id", "mean_price"),
 ]
 NUMERIC_LOANS = ["loan_amnt", "installment", "annual_inc", "dti"]
 
@@ -80,7 +82,8 @@ def _text_times(events: DataFrame) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"])
+    raw = stage(loans(spark, sf_dir), "loans")  # a join of five tables, read three times
+    return loan_plan.clean_loans(raw, keep=["id"])
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +111,7 @@ def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    raw = stage(loans(spark, sf_dir), "loans")  # a join of five tables, read three times
-    return loan_plan.loan_vectors(loan_plan.clean_loans(raw, keep=["id"]), key="id")
+    return loan_plan.loan_vectors(_cleaned(spark, sf_dir), key="id")
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -152,7 +154,7 @@ def events_scan(spark, sf_dir):
 @query
 def clean_roundtrip(spark, sf_dir):
     path = working_path(spark, "clean-loans")
-    write_parquet(loan_plan.clean_loans(loans(spark, sf_dir), keep=["id"]), path)
+    write_parquet(_cleaned(spark, sf_dir), path)
     return read_parquet(spark, path)
 
 
@@ -457,7 +459,8 @@ def top_purchase_brands(spark, sf_dir):
 @query
 def shop_reports(spark, sf_dir):
     """The reports of the shop study in long form."""
-    made = shop_plan.shop_reports(shop_events(spark, sf_dir))
+    made = shop_plan.shop_reports(stage(shop_events(spark, sf_dir), "shop-events"))
+    made["product_prices"] = _rounded(made["product_prices"], "mean_price")
     parts = []
     for name, key, *values in SHOP_REPORTS:
         for value in values:
