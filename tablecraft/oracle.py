@@ -529,6 +529,24 @@ select neg_through / neg_all, pos_through / pos_all, score from ranked""",
     + "select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 9) as auc from ranked",
 }
 
+ORACLE_SQL["describe_sketch"] = _with(SHOP) + "\nunion all\n".join(
+    f"""select '{c}' as "column", count({c}) as "count", round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+    cast(min({c}) as double) as "min", cast(max({c}) as double) as "max", true as ranks_proven from shop"""
+    for c in DESCRIBED
+)
+ORACLE_SQL["describe_by_month"] = _with(SHOP) + "\nunion all\n".join(
+    f"""select strftime(event_time, '%Y-%m') as month, '{c}' as "column", count({c}) as "count", round(avg({c}), 6) as mean,
+    round(stddev_samp({c}), 6) as std, cast(min({c}) as double) as "min", cast(max({c}) as double) as "max" from shop group by 1"""
+    for c in DESCRIBED
+)
+ORACLE_SQL["visitors_by_range"] = _with(SHOP) + """, seen as (select distinct cast(event_time as date) as day, user_id from events0),
+weeks as (select distinct cast(day - interval 6 day as date) as first_day, day as last_day from seen)
+select first_day, last_day, count(distinct user_id) as visitors, true as within_error
+from weeks join seen on day between first_day and last_day group by 1, 2"""
+ORACLE_SQL["heavy_brands"] = ORACLE_SQL["top_brands"]
+ORACLE_SQL["heavy_purchase_brands"] = ORACLE_SQL["top_purchase_brands"]
+ORACLE_SQL["heavy_users"] = _with(SHOP) + _count("user_id", "events0") + ' order by "count" desc, user_id limit 50'
+
 _REPORT_SQL = {
     "event_types": ("event_type_counts", "event_type", "count"),
     "event_type_shares": ("event_type_share", "event_type", "share_pct"),

@@ -31,7 +31,7 @@ from tablecraft.constants import (
     TOP_PURCHASE_BRANDS,
     WEIGHT_COLUMN,
 )
-from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, report
+from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, report, sketches
 from tablecraft.plans import loans as loan_plan
 from tablecraft.plans import shop as shop_plan
 from tablecraft.sources import read_csv, read_parquet, stage, write_csv, write_parquet, working_path
@@ -193,6 +193,68 @@ def correlation_matrix(spark, sf_dir):
     )
 
 
+# --- stored summaries ---------------------------------------------------------------------------
+
+DESCRIBED = ["product_id", "category_id", "price", "user_id"]
+
+
+@query
+def describe_sketch(spark, sf_dir):
+    """The sketched description, and whether the exact ranks of its quartiles are where they should be."""
+    rows = stage(_raw_events(spark, sf_dir), "events")
+    found = stage(sketches.describe_sketch(rows, DESCRIBED), "sketched")
+    quartiles = {r["column"]: [r.q25, r.q50, r.q75] for r in found.collect()}
+    spans = sketches.rank_spans(rows, quartiles)
+    wanted = F.element_at(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("place") + 1) * F.col("n")
+    room = 2 * sketches.rank_error() * F.col("n") + 1
+    proven = (F.col("below") <= wanted + room) & (F.col("upto") >= wanted - room)
+    ranks = spans.groupBy("column").agg(F.bool_and(proven).alias("ranks_proven"))
+    return _rounded(found.join(ranks, "column").drop("q25", "q50", "q75"), "mean", "std")
+
+
+@query
+def describe_by_month(spark, sf_dir):
+    """Daily states, written, and merged into months without the events."""
+    rows = _raw_events(spark, sf_dir).withColumn("day", F.to_date("event_time"))
+    daily = stage(sketches.quantile_states(rows, DESCRIBED, ["day"]), "daily-quantiles")
+    monthly = sketches.merge_quantiles(daily.withColumn("month", F.date_format("day", "yyyy-MM")), ["month"])
+    return _rounded(sketches.described(monthly, by=["month"]).drop("q25", "q50", "q75"), "mean", "std")
+
+
+def _weeks(spark: SparkSession, days: DataFrame) -> DataFrame:
+    """The seven days up to every day that has events."""
+    return days.select(F.date_sub("day", 6).alias("first_day"), F.col("day").alias("last_day")).distinct()
+
+
+@query
+def visitors_by_range(spark, sf_dir):
+    """Visitors of the seven days up to every day, from daily sketches, held against exact counts."""
+    events = stage(_events(spark, sf_dir).select("event_time", "user_id"), "visits")
+    states = stage(sketches.visitor_states(events), "daily-visitors")
+    weeks = _weeks(spark, states)
+    seen = events.select(F.to_date("event_time").alias("day"), "user_id").distinct()
+    asked = weeks.select("first_day", "last_day", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    exact = asked.join(seen, "day").groupBy("first_day", "last_day").agg(F.count_distinct("user_id").alias("exact"))
+    both = sketches.visitors_by_range(states, weeks).join(exact, ["first_day", "last_day"])
+    near = F.abs(F.col("visitors") - F.col("exact")) <= 4 * sketches.visitor_error() * F.col("exact")
+    return both.select("first_day", "last_day", F.col("exact").alias("visitors"), near.alias("within_error"))
+
+
+@query
+def heavy_brands(spark, sf_dir):
+    return sketches.heavy_hitters(_events(spark, sf_dir), "brand", TOP_BRANDS)
+
+
+@query
+def heavy_purchase_brands(spark, sf_dir):
+    return sketches.heavy_hitters(stage(shop_plan.purchases(_events(spark, sf_dir)), "purchases"), "brand", TOP_PURCHASE_BRANDS)
+
+
+@query
+def heavy_users(spark, sf_dir):
+    return sketches.heavy_hitters(_events(spark, sf_dir), "user_id", TOP_BRANDS)
+
+
 # --- nulls -------------------------------------------------------------------------------------
 
 @query
