@@ -529,6 +529,27 @@ select neg_through / neg_all, pos_through / pos_all, score from ranked""",
     + "select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 9) as auc from ranked",
 }
 
+ORACLE_SQL["active_user_events_reduced"] = ORACLE_SQL["active_user_events"]
+for _key in ("active_user_events", "user_sums", "activity_per_user", "cart_purchase_users"):
+    ORACLE_SQL[f"bucketed_{_key}"] = ORACLE_SQL[_key]
+_LINES = """, lines as (
+  select id, loan_status, term, right(id, 1) as line, cast(cast(loan_amnt as decimal(18,2)) as varchar) as amount,
+    coalesce(cast(cast(tot_cur_bal as decimal(18,2)) as varchar), 'unknown') as balance from loans),
+records as (
+  select *, concat_ws(',', id, loan_status, term, amount || case when line = '5' then ' USD' else '' end,
+    case when line <> '6' then balance end) || case when line = '7' then ',more' else '' end as record from lines)
+"""
+ORACLE_SQL["csv_rejects"] = _with(LOANS) + _LINES + """
+select record, null::varchar as "column", null::varchar as "value", 'number of fields' as reason from records where line in ('6', '7')
+union all select record, 'loan_amnt', amount || ' USD', 'not double' from records where line = '5'
+union all select record, 'tot_cur_bal', balance, 'not double' from records where line not in ('6', '7') and balance = 'unknown'"""
+ORACLE_SQL["csv_kept"] = _with(LOANS) + _LINES + """
+select id, loan_status, term, cast(amount as double) as loan_amnt, cast(balance as double) as tot_cur_bal
+from records where line not in ('5', '6', '7') and balance <> 'unknown'"""
+ORACLE_SQL["csv_totals"] = _with(LOANS) + _LINES + """
+select count(*) as lines, count(*) filter (where line not in ('5', '6', '7') and balance <> 'unknown') as kept,
+  count(*) filter (where line in ('5', '6', '7') or balance = 'unknown') as rejected from records"""
+
 ORACLE_SQL["describe_sketch"] = _with(SHOP) + "\nunion all\n".join(
     f"""select '{c}' as "column", count({c}) as "count", round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
     cast(min({c}) as double) as "min", cast(max({c}) as double) as "max", true as ranks_proven from shop"""

@@ -31,10 +31,19 @@ from tablecraft.constants import (
     TOP_PURCHASE_BRANDS,
     WEIGHT_COLUMN,
 )
-from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, report, sketches
+from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, reduce as reducing, report, sketches
 from tablecraft.plans import loans as loan_plan
 from tablecraft.plans import shop as shop_plan
-from tablecraft.sources import read_csv, read_parquet, stage, write_csv, write_parquet, working_path
+from tablecraft.sources import (
+    read_csv,
+    read_csv_with_rejects,
+    read_parquet,
+    stage,
+    stage_bucketed,
+    working_path,
+    write_csv,
+    write_parquet,
+)
 from tablecraft.sources.standin import loans, shop_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +136,47 @@ def csv_scan(spark, sf_dir):
     )
 
 
+CSV_TYPES = "id string, loan_status string, term string, loan_amnt double, tot_cur_bal double"
+
+
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Lines without a header: an amount that is no number, a missing field, a field too many, and "unknown"
+    for a missing balance."""
+    rows = loans(spark, sf_dir, "id", "loan_status", "term", "loan_amnt", "tot_cur_bal")
+    line = F.right("id", F.lit(1))
+    amount, balance = (F.col(c).cast("decimal(18,2)").cast("string") for c in ("loan_amnt", "tot_cur_bal"))
+    fields = ["id", "loan_status", "term", F.when(line == "5", F.concat(amount, F.lit(" USD"))).otherwise(amount)]
+    fields.append(F.when(line == "6", None).otherwise(F.coalesce(balance, F.lit("unknown"))))
+    text = F.concat(F.concat_ws(",", *fields), F.when(line == "7", F.lit(",more")).otherwise(F.lit("")))
+    path = working_path(spark, "damaged-csv")
+    rows.select(text.alias("value")).write.text(path)
+    return path
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    _, rejects = read_csv_with_rejects(spark, _damaged_csv(spark, sf_dir), CSV_TYPES, header=False)
+    return rejects.select("record", "column", "value", "reason")
+
+
+@query
+def csv_kept(spark, sf_dir):
+    return read_csv_with_rejects(spark, _damaged_csv(spark, sf_dir), CSV_TYPES, header=False)[0]
+
+
+@query
+def csv_totals(spark, sf_dir):
+    """Lines, rows kept and records rejected."""
+    path = _damaged_csv(spark, sf_dir)
+    kept, rejects = read_csv_with_rejects(spark, path, CSV_TYPES, header=False)
+    counts = [
+        spark.read.text(path).agg(F.count(F.lit(1)).alias("lines")).scalar(),
+        kept.agg(F.count(F.lit(1)).alias("kept")).scalar(),
+        rejects.agg(F.count_distinct("record_no").alias("rejected")).scalar(),
+    ]
+    return spark.range(1).select(*[c.alias(n) for c, n in zip(counts, ("lines", "kept", "rejected"))])
+
+
 @query
 def csv_scan_inferred(spark, sf_dir):
     """Types found by a pass over the files, as a file without a schema is read."""
@@ -405,6 +455,40 @@ def active_user_events(spark, sf_dir):
     return report.events_of(events, report.buyers(events))
 
 
+@query
+def active_user_events_reduced(spark, sf_dir):
+    """The same by a Bloom filter of the buyers and a broadcast of the busiest of them."""
+    events = stage(_events(spark, sf_dir), "events")
+    return reducing.semi_join(events, report.buyers(events), "user_id")
+
+
+# --- events stored by user ---------------------------------------------------------------------
+
+def _by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_bucketed(_events(spark, sf_dir), "events-by-user", "user_id", 8)
+
+
+@query
+def bucketed_active_user_events(spark, sf_dir):
+    events = _by_user(spark, sf_dir)
+    return report.events_of(events, report.buyers(events))
+
+
+@query
+def bucketed_user_sums(spark, sf_dir):
+    return report.sums_by(_by_user(spark, sf_dir), "user_id", ["product_id", "category_id", "price"], decimals=6)
+
+
+@query
+def bucketed_activity_per_user(spark, sf_dir):
+    return report.activity_per_user(_by_user(spark, sf_dir))
+
+
+@query
+def bucketed_cart_purchase_users(spark, sf_dir):
+    return shop_plan.cart_purchase_users(_by_user(spark, sf_dir))
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _as_struct(schema: T.StructType | str) -> T.StructType:
+def as_struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
@@ -46,7 +46,7 @@ def read_csv(
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
 
-    fields = _as_struct(schema).fields
+    fields = as_struct(schema).fields
     texts = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in fields])).csv(path)
     typed = [f for f in fields if not isinstance(f.dataType, T.StringType)]
     if typed:

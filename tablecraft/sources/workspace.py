@@ -37,3 +37,19 @@ def stage(df: DataFrame, name: str, *, rebalance_by: str | None = None) -> DataF
     path = working_path(spark, name)
     write_parquet(df.hint("rebalance", F.col(rebalance_by)) if rebalance_by else df, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table of ``buckets`` buckets by a hash of the column ``by``, each one file sorted by
+    it, and go on from that table.
+
+    Groups, windows and joins on ``by`` then need no exchange and no sort: one shuffle here is shared by
+    all that is asked per key later. All rows of one key lie in one bucket, so this is a layout for keys
+    none of which holds a large part of the rows; the number of buckets is to follow the size of the
+    table, some hundred megabytes each. The table is known to the session under a name of its own.
+    """
+    spark = df.sparkSession
+    table = f"tablecraft_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, by)
+    dealt.write.bucketBy(buckets, by).sortBy(by).option("path", working_path(spark, name)).format("parquet").saveAsTable(table)
+    return spark.table(table)

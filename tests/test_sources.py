@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
-from tablecraft.sources import read_csv, stage, working_path, write_csv
+from tablecraft.sources import read_csv, read_csv_with_rejects, stage, working_path, write_csv
 from tests.conftest import rows
 
 REPO = Path(__file__).resolve().parent.parent
@@ -104,3 +104,28 @@ spark.stop()
 
 def test_paths_are_fresh(spark):
     assert working_path(spark, "t") != working_path(spark, "t")
+
+
+def test_rejects_say_what_is_wrong(spark, tmp_path):
+    lines = ["a,b,day", 'x,1,2024-01-01', 'y,one,2024-01-02', 'z,2', '"q, ""r""",3,yesterday', 'w,bad,never', ',,', '"",4,', 'v,5,2024-01-05,more', ' s ,6,2024-01-06']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.csv").write_text("a,b,day\nx,1,2024-01-01\nt\n")
+    kind = "a string, b int, day date"
+    kept, rejects = read_csv_with_rejects(spark, str(tmp_path), kind)
+    assert rows(kept) == rows(read_csv(spark, str(tmp_path), kind))
+    found = sorted(((r.file.rsplit("/", 1)[1], r.record, r.column, r.value, r.reason) for r in rejects.collect()), key=repr)
+    assert found == sorted(
+        [
+            ("a.csv", "y,one,2024-01-02", "b", "one", "not int"),
+            ("a.csv", "z,2", None, None, "number of fields"),
+            ("a.csv", '"q, ""r""",3,yesterday', "day", "yesterday", "not date"),
+            ("a.csv", "w,bad,never", "b", "bad", "not int"),
+            ("a.csv", "w,bad,never", "day", "never", "not date"),
+            ("a.csv", "v,5,2024-01-05,more", None, None, "number of fields"),
+            ("b.csv", "t", None, None, "number of fields"),
+        ],
+        key=repr,
+    )
+    assert kept.count() + rejects.select("record_no").distinct().count() == 11
+    texts, none = read_csv_with_rejects(spark, str(tmp_path / "b.csv"), "a string, b string, day string")
+    assert texts.count() == 1 and [r.record for r in none.collect()] == ["t"]
