@@ -504,8 +504,8 @@ select id, "ClassLable", idx as label from labelled join (
     "split_hash": _with(LOANS, LABELLED) + f"select id, {SPLIT} as in_train from labelled",
     "split_random": _with(LOANS, LABELLED) + 'select "ClassLable", count(*) as "count", 0::bigint as overlap from labelled group by 1',
     "feature_importance": "select * from (values "
-    + ", ".join(f"({i}, '{n.strip(chr(34))}', true)" for i, n in enumerate(_feature_names()))
-    + ") as v(idx, feature, sums_to_one)",
+    + ", ".join(f"({i}, '{n.strip(chr(34))}', true, true)" for i, n in enumerate(_feature_names()))
+    + ") as v(idx, feature, sums_to_one, nodes_agree)",
     "feature_select": _with(LOANS, CLEANED, _encoded()) + "select id, label, true as same_entries from encoded",
     # models
     "model_lr": _model_facts(),
@@ -568,6 +568,72 @@ ORACLE_SQL["heavy_brands"] = ORACLE_SQL["top_brands"]
 ORACLE_SQL["heavy_purchase_brands"] = ORACLE_SQL["top_purchase_brands"]
 ORACLE_SQL["heavy_users"] = _with(SHOP) + _count("user_id", "events0") + ' order by "count" desc, user_id limit 50'
 
+# The stated trees as one expression a tree: the leaf that a row reaches.
+_LEAVES = """case when loan_amnt <= 40000 then case when dti <= 4 then 3 else 4 end else case when "grade_A" <= 0.5 then 5 else 6 end end as leaf0,
+  case when "grade_B" <= 0.5 then case when "termIndex" <= 0.5 then 3 else case when installment <= 25 then 5 else 6 end end else 2 end as leaf1"""
+_FOREST = _with(LOANS, CLEANED, _encoded()) + f""",
+ways(tree, leaf, node) as (values (0,3,0),(0,3,1),(0,3,3),(0,4,0),(0,4,1),(0,4,4),(0,5,0),(0,5,2),(0,5,5),(0,6,0),(0,6,2),(0,6,6),
+  (1,2,0),(1,2,2),(1,3,0),(1,3,1),(1,3,3),(1,5,0),(1,5,1),(1,5,4),(1,5,5),(1,6,0),(1,6,1),(1,6,4),(1,6,6)),
+kids(tree, node, a, b) as (values (0,0,1,2),(0,1,3,4),(0,2,5,6),(1,0,1,2),(1,1,3,4),(1,4,5,6)),
+splits(tree, node, feature) as (values (0,0,'loan_amnt'),(0,1,'dti'),(0,2,'grade_A'),(1,0,'grade_B'),(1,1,'termIndex'),(1,4,'installment')),
+reached as (select label, {_LEAVES} from train),
+landed as (select 0 as tree, leaf0 as leaf, label from reached union all select 1, leaf1, label from reached),
+stats as (
+  select w.tree, w.node, count(*) filter (where label = 0) as n0, count(*) filter (where label = 1) as n1
+  from (select distinct tree, node from ways) w left join (select tree, node, label from landed join ways using (tree, leaf)) a
+    on w.tree = a.tree and w.node = a.node group by 1, 2),
+sized as (
+  select *, n0 + n1 as n, case when n0 + n1 > 0 then 1 - (n0::double * n0 + n1::double * n1) / ((n0 + n1)::double * (n0 + n1)) else 0 end as impurity
+  from stats),
+nodes as (
+  select s.tree, s.node, s.n0, s.n1, s.n,
+    case when k.node is not null then coalesce(s.impurity - (a.n * a.impurity + b.n * b.impurity) / nullif(s.n, 0), 0) end as gain,
+    case when s.n > 0 then case when s.n0 >= s.n1 then 0.0::double else 1.0::double end end as prediction
+  from sized s left join kids k using (tree, node) left join sized a on a.tree = s.tree and a.node = k.a
+    left join sized b on b.tree = s.tree and b.node = k.b)
+"""
+ORACLE_SQL["forest_nodes"] = _FOREST + "select tree, node, n0, n1, round(gain, 9) as gain, prediction from nodes"
+ORACLE_SQL["forest_importances"] = _FOREST + """,
+parts as (select tree, feature, gain * n as part from nodes join splits using (tree, node)),
+shares as (select feature, sum(part / whole) as share from parts join (select tree, sum(part) as whole from parts group by 1) using (tree) group by 1)
+select feature, round(share / (select sum(share) from shares), 9) as score from shares"""
+ORACLE_SQL["forest_scorecard"] = _FOREST + f""",
+tested as (select label, {_LEAVES} from test),
+predicted as (
+  select label, score, case when raw >= 0.5 then 0.0::double else 1.0::double end as prediction from (
+    select label, (a.n0 / a.n::double + b.n0 / b.n::double) / 2 as raw, round((a.n0 / a.n::double + b.n0 / b.n::double) / 2, 12) as score
+    from tested t join nodes a on a.tree = 0 and a.node = t.leaf0 join nodes b on b.tree = 1 and b.node = t.leaf1)),{_RANKED}
+select * from ({_CONFUSION_RIGHT}), ({_RATIOS.format(counts=_CONFUSION_RIGHT)}), ({_WEIGHTED_F1}),
+  (select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 9) as auc from ranked)"""
+
+
+def _gradient() -> str:
+    names = _feature_names()
+    tops = ", ".join(f"greatest(1.0, max({n})) as t{i}" for i, n in enumerate(names))
+    margin = " + ".join(f"({(7 * i) % 11 - 5}) / 10.0 / t{i} * {n}" for i, n in enumerate(names))
+    slopes = " union all ".join(
+        f"select {i} as idx, '{n.strip(chr(34))}' as feature, sum(e * {n}) / sum(weight) as gradient, sum(l) / sum(weight) as loss from told"
+        for i, n in enumerate(names)
+    )
+    return _with(LOANS, CLEANED, _encoded()) + f""", tops as (select {tops} from train),
+margins as (select train.*, 0.25 + {margin} as m from train cross join tops),
+told as (select *, weight * (1 / (1 + exp(-m)) - label) as e,
+  weight * (greatest(m, 0) + ln(1 + exp(-abs(m))) - label * m) as l from margins)
+select idx, feature, round(gradient, 6) as gradient, round(loss, 6) as loss from ({slopes}
+  union all select {len(names)}, '(intercept)', sum(e) / sum(weight), sum(l) / sum(weight) from told)"""
+
+
+ORACLE_SQL["logistic_gradient"] = _gradient()
+_CARD = "total correct wrong tp tn fn fp ratio_wrong ratio_correct accuracy precision recall f1 sensitivity specificity weighted_f1 auc".split()
+ORACLE_SQL["loan_study"] = f"""
+select model, figure, value from (select m.model, c.* from (
+  select total::double as total, (tp + fn)::double as positives, (tn + fp)::double as negatives from ({_bayes_card()})) c,
+  (values ('logistic_regression'), ('random_forest'), ('boosted_trees'), ('naive_bayes')) as m(model))
+  unpivot (value for figure in (total, positives, negatives))
+union all
+select 'naive_bayes', figure, round(value, 9) from (select {", ".join(f'{c}::double as {c}' for c in _CARD)} from ({_bayes_card()}))
+  unpivot (value for figure in ({", ".join(c for c in _CARD if c != "total")}))"""
+
 _REPORT_SQL = {
     "event_types": ("event_type_counts", "event_type", "count"),
     "event_type_shares": ("event_type_share", "event_type", "share_pct"),

@@ -31,7 +31,8 @@ from tablecraft.constants import (
     TOP_PURCHASE_BRANDS,
     WEIGHT_COLUMN,
 )
-from tablecraft.operators import clean, dedup, evaluate, features, models, nulls, profile, reduce as reducing, report, sketches
+from tablecraft.operators import clean, dedup, evaluate, features, linear, models, nulls, profile, report, sketches, trees
+from tablecraft.operators import reduce as reducing
 from tablecraft.plans import loans as loan_plan
 from tablecraft.plans import shop as shop_plan
 from tablecraft.sources import (
@@ -714,7 +715,10 @@ def feature_importance(spark, sf_dir):
     forest = models.importance_forest().fit(train)
     scores = features.feature_importance(train, forest.featureImportances)
     total = scores.agg(F.sum("score").alias("total")).scalar()
-    return scores.select("idx", "feature", (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+    nodes = trees.importances(trees.node_table(forest)).withColumnRenamed("score", "from_nodes")
+    met = scores.join(nodes, F.col("idx") == nodes["feature"], "left").select(scores["*"], F.coalesce("from_nodes", F.lit(0.0)).alias("from_nodes"))
+    agrees = F.abs(F.col("score") - F.col("from_nodes")) < 1e-9
+    return met.select("idx", "feature", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), agrees.alias("nodes_agree"))
 
 
 @query
@@ -784,6 +788,87 @@ def model_gbt(spark, sf_dir):
     return _checked(spark, sf_dir, models.boosted_trees())
 
 
+# Trees of stated splits over named features: (tree, node, feature, threshold, left, right).
+STATED_TREES = [
+    (0, 0, "loan_amnt", 40000.0, 1, 2),
+    (0, 1, "dti", 4.0, 3, 4),
+    (0, 2, "grade_A", 0.5, 5, 6),
+    (0, 3, None, None, None, None),
+    (0, 4, None, None, None, None),
+    (0, 5, None, None, None, None),
+    (0, 6, None, None, None, None),
+    (1, 0, "grade_B", 0.5, 1, 2),
+    (1, 1, "termIndex", 0.5, 3, 4),
+    (1, 2, None, None, None, None),
+    (1, 3, None, None, None, None),
+    (1, 4, "installment", 25.0, 5, 6),
+    (1, 5, None, None, None, None),
+    (1, 6, None, None, None, None),
+]
+
+
+def _refitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Test rows and stated trees with the statistics of the training rows."""
+    vectors, names = _vectors(spark, sf_dir)
+    train, test = features.split_by_key(vectors, "id")
+    splits = [(t, n, None if f is None else names.index(f), x, a, b) for t, n, f, x, a, b in STATED_TREES]
+    return test, stage(trees.refit(train, trees.stated_nodes(spark, splits)), "refitted-nodes"), names
+
+
+@query
+def forest_nodes(spark, sf_dir):
+    """Class counts and gains of the stated trees on the training rows."""
+    _, nodes, _ = _refitted(spark, sf_dir)
+    counts = [F.col("stats")[c].cast("long").alias(f"n{c}") for c in range(2)]
+    return _rounded(nodes.select("tree", "node", *counts, "gain", "prediction"), "gain", digits=9)
+
+
+@query
+def forest_importances(spark, sf_dir):
+    _, nodes, names = _refitted(spark, sf_dir)
+    named = spark.createDataFrame(list(enumerate(names)), "feature int, name string")
+    return _rounded(trees.importances(nodes).join(named, "feature").select(F.col("name").alias("feature"), "score"), "score", digits=9)
+
+
+@query
+def forest_scorecard(spark, sf_dir):
+    """The scorecard of the refitted trees on the test rows, from scores computed out of the node table."""
+    test, nodes, _ = _refitted(spark, sf_dir)
+    scored = trees.forest_scores(test, nodes)
+    scored = scored.withColumns({"prediction": F.when(F.col("score") >= 0.5, 0.0).otherwise(1.0), "score": F.round("score", 12)})
+    card = models.card_of(scored.select("label", "prediction", "score"))
+    counts = {"total", "correct", "wrong", "tp", "tn", "fn", "fp"}
+    return _rounded(card, *[c for c in card.columns if c not in counts], digits=9)
+
+
+@query
+def logistic_gradient(spark, sf_dir):
+    """Loss and gradient at stated coefficients: ((7 idx) % 11 - 5) / 10 over the largest value of the feature."""
+    vectors, names = _vectors(spark, sf_dir)
+    train, _ = features.split_by_key(vectors, "id")
+    tops = train.select(F.posexplode(vector_to_array("features")).alias("idx", "x")).groupBy("idx").agg(F.max("x").alias("top"))
+    scale = {r["idx"]: r["top"] for r in tops.collect()}
+    stated = [((7 * i) % 11 - 5) / 10 / max(1.0, scale.get(i, 1.0)) for i in range(len(names))]
+    table = linear.coefficient_table(spark, stated, 0.25, names)
+    found = linear.loss_and_gradient(train, table, weight=WEIGHT_COLUMN)
+    return _rounded(found.select("idx", "feature", "gradient", "loss"), "gradient", "loss", digits=6)
+
+
+@query
+def loan_study(spark, sf_dir):
+    """The whole study in long form: the scorecard of each model on the test rows. Of the iterative fits, what
+    does not depend on the fit; of naive Bayes all."""
+    cards = loan_plan.loan_study(stage(loans(spark, sf_dir), "loans"))
+    parts = []
+    for name, card in cards.items():
+        fixed = {"total": F.col("total"), "positives": F.col("tp") + F.col("fn"), "negatives": F.col("tn") + F.col("fp")}
+        if name == "naive_bayes":
+            fixed |= {c: F.col(c) for c in card.columns if c != "auc"} | {"auc": F.round("auc", 6)}
+        row = card.select(*[v.cast("double").alias(k) for k, v in fixed.items()])
+        parts.append(row.unpivot([], list(fixed), "figure", "value").select(F.lit(name).alias("model"), "figure", "value"))
+    return _rounded(reduce(DataFrame.unionByName, parts), "value", digits=9)
+
+
 # --- evaluation --------------------------------------------------------------------------------
 
 @query
