@@ -25,11 +25,12 @@ get equal samples. Other columns of any name do no harm.
 
 from __future__ import annotations
 
-import re
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,22 +40,57 @@ from tablecraft.llm.batches import mix64, numbered, offsets, slices
 
 SPACE = "▁"
 _LITERAL = "\udc00"  # stands for a literal U+2581; no valid text holds it
-_WORD = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 _BASE = np.uint64(0x100000001B3)
 _NEVER = -np.inf
-SLICE = 1_000_000  # bytes of text whose words share a lattice
+SLICE = 300_000  # bytes of text whose words share a lattice
 _ALL = (1 << 64) - 1
 
 
 @dataclass
 class Vocabulary:
-    """Piece hashes by length with ids and log probabilities, byte pieces, and the text of every id."""
-
-    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    """Hash, length, id and log probability of all pieces, byte pieces, and the text of every id.
+
+    A hash is looked up by its low bits (``slots``), and by other bits where two pieces share a slot.
+    Both tables hold places of pieces, 0 for none: the first piece stands for no piece.
+    """
+
+    hashes: np.ndarray
+    lengths: np.ndarray
+    ids: np.ndarray
+    logs: np.ndarray
+    slots: tuple[np.ndarray, np.ndarray]
+    begun: np.ndarray  # by the low bits of a hash: whether a longer piece may begin like that
+    longest: int
     byte_ids: np.ndarray
     byte_log: float
     spelled: list[bytes]
-    sieve: np.ndarray  # by the low bits of a hash: whether a piece may have it
+
+    def find(self, hashed: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces of a length, and the places of these pieces."""
+        first = self.slots[0][hashed & _SLOTS]
+        maybe = np.flatnonzero(first)
+        at, wanted = first[maybe], hashed[maybe]
+        other = np.flatnonzero(self.hashes[at] != wanted)
+        at[other] = self.slots[1][(wanted[other] >> np.uint64(24)) & _SLOTS]
+        good = (self.hashes[at] == wanted) & (self.lengths[at] == length)
+        return maybe[good], at[good]
+
+
+_SLOTS = np.uint64((1 << 20) - 1)
+
+
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    tables = np.zeros(1 << 20, np.int32), np.zeros(1 << 20, np.int32)
+    for i in range(1, len(hashes)):
+        h = int(hashes[i])
+        low, high = h & int(_SLOTS), (h >> 24) & int(_SLOTS)
+        if not tables[0][low]:
+            tables[0][low] = i
+        elif not tables[1][high]:
+            tables[1][high] = i
+        else:
+            raise ValueError("the vocabulary is too large for its tables")
+    return tables
 
 
 def load(model_file: str, flat: float = 1.0) -> Vocabulary:
@@ -80,54 +116,53 @@ def load(model_file: str, flat: float = 1.0) -> Vocabulary:
     normal.sort()
     log = -flat * np.log(np.arange(1, len(normal) + 2))
     log -= np.log(np.exp(log[:-1]).sum() + 256 * np.exp(log[-1]))
-    by_length: dict[int, list[tuple[int, int, float]]] = {}
-    for rank, (_, i, piece) in enumerate(normal):
-        codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        rolled = np.zeros(1, np.uint64)
-        for c in codes:
-            rolled = rolled * _BASE + c
-        by_length.setdefault(len(piece), []).append((int(mix64(rolled)[0]), i, log[rank]))
-    tables = {}
-    for n, rows in by_length.items():
-        rows.sort()
-        tables[n] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows]))
-    sieve = np.zeros(1 << 20, bool)
-    for hashes, _, _ in tables.values():
-        sieve[hashes & np.uint64(len(sieve) - 1)] = True
-    return Vocabulary(tables, byte_ids, float(log[-1]), spelled, sieve)
+    whole, begins = [], []
+    for _, _, piece in normal:
+        rolled = 0
+        for n, c in enumerate(piece):
+            if n:
+                begins.append(rolled)
+            rolled = (rolled * int(_BASE) + ord(c)) & _ALL
+        whole.append(rolled)
+    hashes = np.concatenate([np.zeros(1, np.uint64), mix64(np.array(whole, np.uint64))])
+    lengths = np.array([0, *(len(piece) for _, _, piece in normal)], np.int64)
+    begun = np.zeros(1 << 20, bool)
+    begun[mix64(np.array(begins, np.uint64)) & _SLOTS] = True
+    ids = np.array([0, *(i for _, i, _ in normal)], np.int64)
+    logs = np.concatenate([[0.0], log[:-1]])
+    longest = int(lengths.max())
+    return Vocabulary(hashes, lengths, ids, logs, _slots(hashes), begun, longest, byte_ids, float(log[-1]), spelled)
 
 
 class Lattice:
     """The lattices of distinct words side by side. Nodes are places in a word, ends included; the
     edges of a node stand together, with their probabilities given the node as running sums."""
 
-    def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+    def __init__(self, words: list[str] | tuple[np.ndarray, np.ndarray], vocabulary: Vocabulary) -> None:
+        """``words``: texts, or the code points of all of them and their lengths."""
+        codes, lengths = words if isinstance(words, tuple) else (_codes(words), np.fromiter(map(len, words), np.int64, len(words)))
+        codes = codes.astype(np.uint64)
         begins = offsets(lengths)
-        of = np.repeat(np.arange(len(words)), lengths)
-        left = begins[1:][of] - np.arange(len(codes))  # characters to the end of the word
-        node = np.arange(len(codes)) + of
-        self.first = begins[:-1] + np.arange(len(words))
+        small = np.int32  # a slice has far fewer than 2^31 edges; half the memory of long numbers
+        of = np.repeat(np.arange(len(lengths), dtype=small), lengths)
+        left = (begins[1:][of] - np.arange(len(codes))).astype(small)  # characters to the end of the word
+        node = np.arange(len(codes), dtype=small) + of
+        self.first = begins[:-1] + np.arange(len(lengths))
         self.last = self.first + lengths
         found = []
         covered = np.zeros(len(codes), bool)
-        rolled = np.zeros(len(codes), np.uint64)
-        for n in range(1, max(vocabulary.by_length, default=0) + 1):
-            rolled = rolled[: len(codes) - n + 1] * _BASE + codes[n - 1 :]
-            if n not in vocabulary.by_length:
-                continue
-            known, ids, logs = vocabulary.by_length[n]
-            inside = np.flatnonzero(left[: len(rolled)] >= n)
-            hashed = mix64(rolled[inside])
-            maybe = np.flatnonzero(vocabulary.sieve[hashed & np.uint64(len(vocabulary.sieve) - 1)])
-            hashed = hashed[maybe]
-            at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-            hit = known[at] == hashed
-            where, at = inside[maybe[hit]], at[hit]
+        inside, rolled = np.arange(len(codes), dtype=small), np.zeros(len(codes), np.uint64)
+        for n in range(1, vocabulary.longest + 1):
+            if n > 1:
+                longer = np.flatnonzero((left[inside] >= n) & vocabulary.begun[hashed & _SLOTS])
+                inside, rolled = inside[longer], rolled[longer]
+            rolled = rolled * _BASE + codes[inside + (n - 1)]
+            hashed = mix64(rolled)
+            hit, at = vocabulary.find(hashed, n)
+            where, ids, logs = inside[hit], vocabulary.ids[at], vocabulary.logs[at]
             if n == 1:
                 covered[where] = True
-            found.append((where, n, ids[at], logs[at]))
+            found.append((where, n, ids, logs))
         bare = np.flatnonzero(~covered)
         spelled = [(SPACE if c == ord(_LITERAL) else chr(c)).encode() for c in codes[bare].tolist()]
         found.insert(0, (bare, 1, -1 - np.arange(len(bare)), vocabulary.byte_log * np.array([len(b) for b in spelled], float)))
@@ -135,20 +170,21 @@ class Lattice:
         begins_at = offsets(degree)
         free = begins_at[:-1].copy()
         n_edges = int(begins_at[-1])
-        size, piece, log = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64), np.empty(n_edges)
+        size, piece, log = np.empty(n_edges, small), np.empty(n_edges, small), np.empty(n_edges)
         for where, n, ids, logs in reversed(found):  # long pieces first: they are the likely ones
             at = free[where]
             size[at], piece[at], log[at] = n, ids, logs
             free[where] += 1
-        start = np.repeat(np.arange(len(codes)), degree)
+        start = np.repeat(np.arange(len(codes), dtype=small), degree)
+        del found, free
         self.source = node[start]
         self.target = self.source + size
         self.sums = self._backward(left[start], log)
         given = log + self.sums[self.target] - self.sums[self.source]
         self.log = np.minimum(given, 0)
         self.share = np.exp(given)
-        n_nodes = len(codes) + len(words)
-        self.begin, self.count, self.ends = np.zeros(n_nodes, np.int64), np.zeros(n_nodes, np.int64), np.zeros(n_nodes, bool)
+        n_nodes = len(codes) + len(lengths)
+        self.begin, self.count, self.ends = np.zeros(n_nodes, small), np.zeros(n_nodes, small), np.zeros(n_nodes, bool)
         self.begin[node], self.count[node] = begins_at[:-1], degree
         self.ends[self.last] = True
         self.running = np.cumsum(self.share)
@@ -157,10 +193,10 @@ class Lattice:
             self.running[begins_at[1:] - 1] = 2.0  # the last edge of a node takes what rounding leaves
         with np.errstate(divide="ignore"):
             self.others = np.where(degree[start] == 1, _NEVER, np.log(np.maximum(1 - self.share, 1e-300)))
-        n_bytes = np.ones(n_edges, np.int64)
+        n_bytes = np.ones(n_edges, small)
         odd = np.flatnonzero(piece < 0)
         n_bytes[odd] = [len(spelled[-1 - p]) for p in piece[odd].tolist()]
-        self.id_begin, self.id_count = offsets(n_bytes), n_bytes
+        self.id_begin, self.id_count = offsets(n_bytes).astype(small), n_bytes
         self.ids = np.repeat(piece, n_bytes)
         for e in odd.tolist():
             self.ids[self.id_begin[e] : self.id_begin[e + 1]] = vocabulary.byte_ids[list(spelled[-1 - piece[e]])]
@@ -214,13 +250,54 @@ def uniform(seeds: np.ndarray, step: int | np.ndarray) -> np.ndarray:
     return np.clip((mixed >> np.uint64(11)).astype(np.float64) * 2.0**-53, 1e-16, 1 - 1e-9)
 
 
-def _bounded(mass: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
+def _bounded(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Maxima of regions with log probability ``mass``, given that they are below ``bound``."""
     with np.errstate(over="ignore", divide="ignore"):
         gumbel = mass - np.log(-np.log(u))
         return -np.logaddexp(-bound, -gumbel)
 
 
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _cut(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the marked texts, where their words begin (and the end), and where the texts begin
+    among the words. A word is a line break, or a run of spaces and what follows up to the next of either."""
+    marked = [" " + t if t else "" for t in texts]
+    codes = _codes(marked).copy()
+    codes[codes == ord(SPACE)] = ord(_LITERAL)
+    codes[codes == ord(" ")] = ord(SPACE)
+    space, line = codes == ord(SPACE), codes == ord("\n")
+    begin = line.copy()
+    begin[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    spans = offsets([len(t) for t in marked])
+    begin[spans[:-1][spans[:-1] < spans[1:]]] = True
+    words = np.append(np.flatnonzero(begin), len(codes))
+    return codes, words, np.searchsorted(words, spans)
+
+
+def _distinct(codes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """For each word the number of its first like, and code points and lengths of the distinct words."""
+    lengths = np.diff(begins)
+    if not len(lengths):
+        return np.zeros(0, np.int64), (codes, lengths)
+    within = np.arange(len(codes)) - np.repeat(begins[:-1], lengths)
+    powers = np.cumprod(np.full(int(lengths.max()) + 1, _BASE, np.uint64))
+    hashed = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * powers[within], begins[:-1]) + lengths.astype(np.uint64)
+    index, _ = pd.factorize(hashed)
+    first = np.full(int(index.max()) + 1, -1, np.int64)
+    first[index[::-1]] = np.arange(len(index))[::-1]
+    like = first[index]
+    if (lengths != lengths[like]).any() or (codes != codes[np.repeat(begins[like], lengths) + within]).any():
+        shown = [codes[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:])]  # two words share a hash
+        index, _ = numbered(shown)
+        first = np.unique(index, return_index=True)[1]
+    sizes = lengths[first]
+    ends = offsets(sizes)
+    return index, (codes[np.arange(ends[-1]) - np.repeat(ends[:-1] - begins[first], sizes)], sizes)
+
+
 def _number(seed: int, *parts: int) -> int:
     """A 64-bit number from a seed and small numbers."""
     for p in parts:
@@ -245,20 +322,10 @@ class _Sampler:
         self.barred: dict[tuple[int, int], list[int]] = {}
         self.values: list[float] = []
 
-    def add(self, lattice: Lattice, path: np.ndarray, at: int, value: float, barred: list[int], logs_before: np.ndarray) -> None:
+    def add(self, path: np.ndarray, at: int, value: float, barred: list[int], logs: np.ndarray, tops: np.ndarray) -> None:
         """A path drawn as the maximum ``value`` of the region that leaves a common beginning at step
-        ``at`` where the edges ``barred`` were taken before."""
-        n, new = len(self.paths), path[at:]
-        logs = np.concatenate([logs_before, logs_before[-1] + np.cumsum(lattice.log[new])])
-        u = uniform(np.uint64(_number(self.seed, n, 0)), np.arange(at, len(path)))
-        mass = logs[at:-1] + lattice.others[new]
-        if barred:
-            node = lattice.source[path[at]]
-            taken = {*barred, int(path[at])}
-            left = sum(lattice.share[e] for e in range(lattice.begin[node], lattice.begin[node] + lattice.count[node]) if e not in taken)
-            mass[0] = logs[at] + np.log(left) if left > 0 else _NEVER
-        tops = _bounded(mass, value, u)
-        tops[mass == _NEVER] = _NEVER
+        ``at`` where the edges ``barred`` were taken before, with the maxima of the regions it leaves."""
+        n = len(self.paths)
         if len(path):
             self.barred[n, at] = [*barred, int(path[at])]
         self.paths.append(path)
@@ -284,21 +351,50 @@ class _Sampler:
         return -n, step, value
 
 
+def _add_all(lattice: Lattice, drawn: list[tuple[_Sampler, np.ndarray, int, float, list[int], np.ndarray]]) -> None:
+    """One more path for each of some texts: sampler, path, the step where it turns off, its value, the edges
+    barred there, and the running logs up to there. What holds for single steps is computed for all
+    texts at once."""
+    sizes = [len(path) - at for _, path, at, *_ in drawn]
+    begins = offsets(sizes)
+    new = np.concatenate([path[at:] for _, path, at, *_ in drawn])
+    steps = np.arange(len(new)) - np.repeat(begins[:-1] - np.array([at for _, _, at, *_ in drawn]), sizes)
+    seeds = np.array([_number(s.seed, len(s.paths), 0) for s, *_ in drawn], np.uint64)
+    logs, others = lattice.log[new], lattice.others[new]
+    before = np.empty(len(new))
+    through = []
+    cuts = begins.tolist()
+    for (s, path, at, _, barred, logs_before), a, b in zip(drawn, cuts[:-1], cuts[1:]):
+        running = np.concatenate([logs_before, logs_before[-1] + np.cumsum(logs[a:b])])
+        through.append(running)
+        before[a:b] = running[at:-1]
+        if barred:
+            node = lattice.source[path[at]]
+            taken = {*barred, int(path[at])}
+            left = sum(lattice.share[e] for e in range(lattice.begin[node], lattice.begin[node] + lattice.count[node]) if e not in taken)
+            others[a] = np.log(left) if left > 0 else _NEVER
+    mass = before + others
+    tops = _bounded(mass, np.repeat([value for _, _, _, value, _, _ in drawn], sizes), uniform(np.repeat(seeds, sizes), steps))
+    tops[mass == _NEVER] = _NEVER
+    for (s, path, at, value, barred, _), running, a, b in zip(drawn, through, cuts[:-1], cuts[1:]):
+        s.add(path, at, value, barred, running, tops[a:b])
+
+
 def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabulary) -> tuple[Lattice, list[_Sampler]]:
     """The ``k`` largest perturbed segmentations of every text, fewer where there are no more, and the
     next largest perturbed value, which needs no path."""
-    marked = [SPACE + t.replace(SPACE, _LITERAL).replace(" ", SPACE) if t else "" for t in texts]
-    split = [_WORD.findall(t) for t in marked]
-    index, distinct = numbered([w for s in split for w in s])
+    codes, word_begins, begins = _cut(texts)
+    index, distinct = _distinct(codes, word_begins)
     lattice = Lattice(distinct, vocabulary)
-    begins = offsets([len(s) for s in split])
     samplers = [_Sampler(key) for key in keys]
     whole = np.arange(len(index)) - np.repeat(begins[:-1], np.diff(begins))
     seeds = np.array([_number(s.seed, 0, 1) for s in samplers], np.uint64)
     edges, words_at = lattice.walk(lattice.first[index], lattice.last[index], mix64(np.repeat(seeds, np.diff(begins)) + whole.astype(np.uint64)))
     cuts = words_at[begins].tolist()
-    for s, a, b in zip(samplers, cuts[:-1], cuts[1:]):
-        s.add(lattice, edges[a:b], 0, float(-np.log(-np.log(_one(_number(s.seed, 0, 2))))), [], np.zeros(1))
+    nothing = np.zeros(1)
+    values = [float(-np.log(-np.log(_one(_number(s.seed, 0, 2))))) for s in samplers]
+    if samplers:
+        _add_all(lattice, [(s, edges[a:b], 0, value, [], nothing) for s, value, a, b in zip(samplers, values, cuts[:-1], cuts[1:])])
     for n in range(1, k):
         jobs, nodes, stops, seeds, sizes = [], [], [], [], []
         for i, s in enumerate(samplers):
@@ -330,9 +426,11 @@ def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabul
             break
         edges, words_at = lattice.walk(np.concatenate(nodes), np.concatenate(stops), np.concatenate(seeds))
         cuts = words_at[offsets(sizes)].tolist()
+        drawn = []
         for (s, of, at, value, barred, turn), a, b in zip(jobs, cuts[:-1], cuts[1:]):
             path = np.concatenate([s.paths[of][:at], [turn], edges[a:b]])
-            s.add(lattice, path, at, value, barred, s.logs[of][: at + 1])
+            drawn.append((s, path, at, value, barred, s.logs[of][: at + 1]))
+        _add_all(lattice, drawn)
     for s in samplers:
         top = s.take() if len(s.paths) == k else None
         if top is not None:
@@ -340,11 +438,35 @@ def sample(texts: list[str | None], keys: list[str], k: int, vocabulary: Vocabul
     return lattice, samplers
 
 
-def ids_of(lattice: Lattice, path: np.ndarray) -> np.ndarray:
-    """Vocabulary ids along a path, bytes written out."""
+def ids_of(lattice: Lattice, paths: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary ids along paths, bytes written out, one path after the other, and where each begins."""
+    path = np.concatenate([np.zeros(0, np.int64), *paths])
     begin, count = lattice.id_begin[path], lattice.id_count[path]
-    ends = np.cumsum(count)
-    return lattice.ids[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count - begin, count)]
+    ends = offsets(count)
+    ids = lattice.ids[np.arange(ends[-1]) - np.repeat(ends[:-1] - begin, count)]
+    return ids, ends[offsets([len(p) for p in paths])]
+
+
+class Speller:
+    """The bytes of all ids side by side, to spell many sequences at once."""
+
+    def __init__(self, spelled: list[bytes]) -> None:
+        self.begins = offsets([len(b) for b in spelled])
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def exact(self, ids: np.ndarray, begins: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        """Whether each sequence of ids spells its text, whose first byte is the space that encoding adds."""
+        sizes = self.begins[ids + 1] - self.begins[ids]
+        ends = offsets(sizes)
+        made = self.data[np.arange(ends[-1]) - np.repeat(ends[:-1] - self.begins[ids], sizes)]
+        spans = ends[begins]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        right = np.diff(spans) == lengths
+        if right.all():
+            differs = np.flatnonzero(made != np.frombuffer(b"".join(texts), np.uint8))
+            right[np.searchsorted(spans, differs, "right") - 1] = False
+            return right
+        return np.array([made[a:b].tobytes() == t for a, b, t in zip(spans[:-1], spans[1:], texts)], bool)
 
 
 def spell(ids: list[int], spelled: list[bytes]) -> str:
@@ -353,31 +475,34 @@ def spell(ids: list[int], spelled: list[bytes]) -> str:
 
 
 def _rows(vocabulary: Vocabulary, k: int, check: bool):
+    speller = Speller(vocabulary.spelled) if check else None
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column("key"), batch.column("text")
             for start, stop in slices(texts, SLICE):
                 given = texts[start:stop].to_pylist()
                 lattice, samplers = sample(given, [str(x) for x in keys[start:stop].to_pylist()], k, vocabulary)
-                at, number, log, inclusion, ids, sizes, exact = [], [], [], [], [], [], []
+                at, number, log, inclusion, paths = [], [], [], [], []
                 for i, s in enumerate(samplers):
                     limit = s.values[k] if len(s.values) > k else _NEVER
                     for n, (path, logs) in enumerate(zip(s.paths, s.logs)):
-                        found = ids_of(lattice, path)
-                        over = np.exp(min(logs[-1] - limit, 50.0))
-                        at.append(start + i)
+                        over = math.exp(min(logs[-1] - limit, 50.0))
+                        at.append(i)
                         number.append(n + 1)
                         log.append(float(logs[-1]))
-                        inclusion.append(float(min(logs[-1] - limit, 0.0)) if over < 1e-9 else float(np.log(-np.expm1(-over))))
-                        ids.append(found)
-                        sizes.append(len(found))
-                        if check:
-                            exact.append(spell(found.tolist(), vocabulary.spelled) == (given[i] or ""))
-                lists = pa.ListArray.from_arrays(pa.array(offsets(sizes), pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
-                columns = [keys.take(pa.array(at)), pa.array(number, pa.int32()), pa.array(log), pa.array(inclusion), lists]
+                        inclusion.append(float(min(logs[-1] - limit, 0.0)) if over < 1e-9 else math.log(-math.expm1(-over)))
+                        paths.append(path)
+                ids, begins = ids_of(lattice, paths)
+                lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.astype(np.int32)))
+                columns = [keys.take(pa.array([start + i for i in at], pa.int64()))]
+                columns += [pa.array(number, pa.int32()), pa.array(log, pa.float64()), pa.array(inclusion, pa.float64()), lists]
                 names = ["key", "sample", "log_prob", "log_inclusion", "ids"]
-                if check:
+                if speller:
+                    expected = [b" " + t.encode() if t else b"" for t in given]
+                    exact = speller.exact(ids, begins, [expected[i] for i in at])
                     columns, names = [*columns, pa.array(exact, pa.bool_())], [*names, "round_trip"]
+                del lattice, samplers, paths, ids
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return made
