@@ -17,16 +17,19 @@ gives all pairs; one with many gives a star around one holder, and marks its hol
 Parity sketches (one bit per hash place, twice as many places as shingles) bound the number of
 differences from below and strike out pairs that cannot link; the sets of the remaining pairs are
 compared exactly. Linked sets are joined into components. What is then left are links between poor
-sets of different components; their sketches are compared block by block, and what passes is again
-compared exactly. No link is lost on the way.
+sets of different components. These are sought block by block: a task holds the sets of two blocks, passes
+over sets that are already joined, compares the sketches and then the sets of the others, and joins
+what links, so that it returns a spanning forest of its sets and never all their pairs. Each block first
+meets itself, and components are joined again before blocks meet each other. No link is lost on the way.
 
 Copies count once: equal sets form one class before anything is compared, and a class is sent once
 from each task. Documents carry no text through any shuffle. Shingles are 64-bit hashes; sets are
 named by a 64-bit hash of their shingles.
 
 Defined results: documents without words or text have no shingles and are components of their own;
-fewer words than a shingle form one shingle; repeated rows are links at distance 0; an empty table
-gives an empty result. Keys are integers. Other columns of any name do no harm.
+fewer words than a shingle form one shingle; repeated rows are links at distance 0; a null key links like
+any other but never names a component, unless all keys of the component are null; an empty table gives
+an empty result. Keys are integers. Other columns of any name do no harm.
 """
 
 from __future__ import annotations
@@ -51,8 +54,10 @@ FEW = 24  # holders up to which a signature gives all pairs
 FLUSH = 1_000_000  # signatures a task holds before it packs them
 PER_BUCKET = 400_000  # signatures a bucket is planned for
 PER_DOCUMENT = 512  # signatures a document is planned with
-HOT_BITS = 23  # places of the filter of frequent signatures
+FILTER_BITS = 16, 27  # places of a filter, as a power of two, at least and at most
+PER_ENTRY = 16  # places for each entry of a filter
 BLOCK = 1024  # poor sets of a block
+BLOCK_SHINGLES = 1 << 20  # shingles of a block, for large sets
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _U = np.uint64
 _SIZE_BITS = 20
@@ -160,7 +165,7 @@ def _measure(bits: int):
                         seen.add(name)
                         held += [x for _, _, x in signatures(s)]
                     marks.append(sketch(s).tobytes() if new else None)
-                yield _row(batch.column("key")[start:stop], [len(s) for s in sets], names, marks)
+                yield _row(batch.column("key")[start:stop], batch.column("spot")[start:stop], [len(s) for s in sets], names, marks)
                 if sum(map(len, held)) > FLUSH:
                     yield from _counted(held, bits)
                     held = []
@@ -170,14 +175,14 @@ def _measure(bits: int):
     return run
 
 
-_MEASURED = "key long, size long, name long, sketch binary, bucket int, low binary, times binary"
+_MEASURED = "key long, spot long, size long, name long, sketch binary, bucket int, low binary, times binary"
 _NAMES = [c.split()[0] for c in _MEASURED.split(", ")]
 
 
-def _row(keys: pa.Array, sizes: list[int], names: list[int], marks: list[bytes | None]) -> pa.RecordBatch:
+def _row(keys: pa.Array, spots: pa.Array, sizes: list[int], names: list[int], marks: list[bytes | None]) -> pa.RecordBatch:
     n = len(sizes)
     empty = [pa.nulls(n, t) for t in (pa.int32(), pa.binary(), pa.binary())]
-    return pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(marks, pa.binary()), *empty], names=_NAMES)
+    return pa.RecordBatch.from_arrays([keys, spots, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(marks, pa.binary()), *empty], names=_NAMES)
 
 
 def _split(sorted_keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
@@ -197,7 +202,7 @@ def _counted(held: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
     low = (found << _U(bits) >> _U(32)).astype(np.uint32)
     times = np.minimum(times, FEW + 1).astype(np.uint8)
     n = len(runs)
-    empty = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+    empty = [pa.nulls(n, t) for t in (*[pa.int64()] * 4, pa.binary())]
     packed = [pa.array([x[a:b].tobytes() for _, a, b in runs], pa.binary()) for x in (low, times)]
     yield pa.RecordBatch.from_arrays([*empty, pa.array([r[0] for r in runs], pa.int32()), *packed], names=_NAMES)
 
@@ -207,30 +212,44 @@ def _numbers(blobs: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in blobs.to_pylist() if x) or b"", kind) if any(blobs.to_pylist()) else np.empty(0, kind)
 
 
-def _hot_place(bucket: int, low: np.ndarray) -> np.ndarray:
-    return (mix64(low.astype(_U) + _U(bucket << 32)) & _U((1 << HOT_BITS) - 1)).astype(np.int64)
+def _filter_bits(entries: int) -> int:
+    """Size of a filter by its entries. Where the largest is too small, more things only look wanted."""
+    return min(max(math.ceil(math.log2(max(entries, 1) * PER_ENTRY)), FILTER_BITS[0]), FILTER_BITS[1])
+
+
+def _mixed_low(bucket: int | np.ndarray, low: np.ndarray) -> np.ndarray:
+    return mix64(low.astype(_U) + (_U(bucket) << _U(32) if isinstance(bucket, int) else bucket << _U(32)))
 
 
 def _frequent(bucket: pa.Table) -> pa.Table:
-    """Filter places of the signatures of a bucket that more than ``FEW`` classes hold."""
+    """Hashes of the signatures of a bucket that more than ``FEW`` classes hold."""
     low, times = _numbers(bucket.column("low"), np.uint32), _numbers(bucket.column("times"), np.uint8)
     found, of = np.unique(low, return_inverse=True)
     many = found[np.bincount(of, weights=times) > FEW]
-    return pa.table({"place": pa.array(np.unique(_hot_place(bucket.column("bucket")[0].as_py(), many)), pa.int64())})
+    return pa.table({"h": pa.array(_mixed_low(bucket.column("bucket")[0].as_py(), many).view(np.int64))})
 
 
-def _hot_filter(places: DataFrame) -> np.ndarray:
-    """The filter as an array of bits. At most ``2 ** (HOT_BITS - 6)`` words reach the driver."""
-    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))).alias("bits")
-    )
-    out = np.zeros(1 << (HOT_BITS - 6), np.int64)
-    found = words.toPandas()
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+class Filter:
+    """Which hashes look wanted, by their leading bits. At most ``2 ** (FILTER_BITS[1] - 6)`` words reach the
+    driver and are sent to the tasks."""
+
+    def __init__(self, hashes: DataFrame) -> None:
+        """``hashes``: a written table with the column ``h``."""
+        self.bits = _filter_bits(hashes.count())
+        place = F.shiftrightunsigned("h", 64 - self.bits)
+        words = hashes.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))).alias("bits")
+        )
+        found = words.toPandas()
+        self.words = np.zeros(1 << (self.bits - 6), _U)
+        self.words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(_U)
+
+    def wanted(self, hashed: np.ndarray) -> np.ndarray:
+        place = hashed >> _U(64 - self.bits)
+        return ((self.words[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1)).astype(bool)
 
 
-def _give(bits: int, hot: np.ndarray):
+def _give(bits: int, hot: Filter):
     """Packed rows ``bucket, sigs, holders, many``; the signatures that every class gives, those in the filter
     last. Long runs within a task become stars at once; their centre goes on, and their signatures as
     ``many``, since holders elsewhere have to learn that the signature is frequent."""
@@ -252,7 +271,7 @@ def _give(bits: int, hot: np.ndarray):
                         x = np.sort(x)
                         low = (x << _U(bits) >> _U(32)).astype(np.uint32)
                         bucket = x >> _U(64 - bits) if bits else np.zeros(len(x), _U)
-                        late = hot[(mix64(low.astype(_U) + (bucket << _U(32))) & _U((1 << HOT_BITS) - 1)).astype(np.int64)]
+                        late = hot.wanted(_mixed_low(bucket, low))
                         x = np.concatenate([x[~late], x[late]])[:n_given]
                         sigs.append(x)
                         who.append(np.repeat(holder, len(x)))
@@ -347,45 +366,49 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return left.selectExpr("least(name_a, name_b) as name_a", "greatest(name_a, name_b) as name_b").where("name_a <> name_b").distinct()
 
 
-def _wanted_sets(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``name, shingles`` of the sets in ``pairs``, from the text of one document of each class.
+def _wanted_sets(rows: DataFrame, names: DataFrame, classes: DataFrame) -> DataFrame:
+    """``name, shingles`` of the sets in ``names``, from the text of one document of each class.
 
-    Which documents are wanted goes to the tasks as a filter of fixed size; a document that only looks
-    wanted costs its set once and meets no pair.
+    Which texts are wanted goes to the tasks as a filter of the hashes of texts, sized by their number; a
+    text that only looks wanted costs its set once and is left out again. A task makes and sends each set
+    once, however many copies it reads.
     """
-    names = pairs.select(F.col("name_a").alias("name")).union(pairs.select("name_b")).distinct()
-    wanted = names.join(classes, "name").select(F.xxhash64("key").alias("h"))
-    places = wanted.select((F.shiftrightunsigned("h", 64 - HOT_BITS)).alias("place")).distinct()
-    filter_ = _hot_filter(places)
+    asked = stage(names.join(classes.select("name", "spot"), "name").select("name", F.col("spot").alias("h")), "wanted-sets")
+    filter_ = Filter(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            at = batch.column("place").to_numpy()
-            batch = batch.filter(pa.array(filter_[at]))
+            batch = batch.filter(pa.array(filter_.wanted(batch.column("spot").to_numpy().view(_U))))
+            fresh = []
+            for spot in batch.column("spot").to_pylist():
+                fresh.append(spot not in seen)
+                seen.add(spot)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             texts = batch.column("text")
             for start, stop in slices(texts):
                 sets = shingle_sets(texts[start:stop].to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key")[start:stop], pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "name", "shingles"]
+                    [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["name", "shingles"]
                 )
 
-    placed = rows.select("key", "text", F.shiftrightunsigned(F.xxhash64("key"), 64 - HOT_BITS).alias("place"))
-    sets = placed.mapInArrow(run, "key long, name long, shingles binary")
-    return sets.join(classes.select("key", "name"), ["key", "name"]).join(names, "name", "left_semi").select("name", "shingles").dropDuplicates(["name"])
+    sets = rows.select("spot", "text").mapInArrow(run, "name long, shingles binary")
+    return sets.join(asked.select("name"), "name", "left_semi").dropDuplicates(["name"])
+
+
+def _similar_sets(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b):
-        x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-    return pd.Series(out, dtype=bool)
+    return pd.Series([_similar_sets(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in zip(a, b)], dtype=bool)
 
 
 def exact_links(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
-    sets = stage(_wanted_sets(rows, pairs, classes), "shingle-sets")
+    names = pairs.select(F.col("name_a").alias("name")).union(pairs.select("name_b")).distinct()
+    sets = stage(_wanted_sets(rows, names, classes), "shingle-sets")
     similar = F.pandas_udf(_similar, "boolean")
     met = pairs.join(sets.select(F.col("name").alias("name_a"), F.col("shingles").alias("set_a")), "name_a").join(
         sets.select(F.col("name").alias("name_b"), F.col("shingles").alias("set_b")), "name_b"
@@ -418,75 +441,103 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("v").alias("name"), F.col("v").alias("component"))).groupBy("name").agg(F.min("component").alias("component"))
 
 
-def _block_pairs(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Candidates between two blocks of poor sets: different components, near sizes, near sketches."""
+def _forest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between the sets of two blocks (or of one) that join components, fewer than the sets.
+
+    The component of every set is followed as links join them, and a set is only compared with sets of
+    other components of near sizes and near sketches."""
+    names = np.concatenate([left["name"], right["name"]])
+    of = np.unique(np.concatenate([left["component"], right["component"]]), return_inverse=True)[1]
+    sizes = np.concatenate([left["size"], right["size"]]).astype(np.int64)
+    marks = [np.frombuffer(s, _U) for s in [*left["sketch"], *right["sketch"]]]
+    sets = [np.frombuffer(s, _U) for s in [*left["shingles"], *right["shingles"]]]
+    wide = {}
+    for i in range(len(left), len(names)):
+        wide.setdefault(len(marks[i]), []).append(i)
+    tables = [(np.array(at), np.stack([marks[i] for i in at])) for at in wide.values()]
     out = []
-    wide = [{n: part for n, part in block.groupby(block["sketch"].map(len))} for block in (left, right)]
-    for one in wide[0].values():
-        x = np.stack([np.frombuffer(s, _U) for s in one["sketch"]])
-        for two in wide[1].values():
-            y = np.stack([np.frombuffer(s, _U) for s in two["sketch"]])
-            names, comps, sizes = two["name"].to_numpy(), two["component"].to_numpy(), two["size"].to_numpy()
-            for mark, name, comp, size in zip(x, one["name"], one["component"], one["size"]):
-                near = np.flatnonzero(_near_sizes(np.int64(size), sizes) & (comps != comp))
-                near = near[(100 + PERCENT) * sketch_gap(mark, y[near]).astype(np.int64) <= (100 - PERCENT) * (size + sizes[near])]
-                out.append(pd.DataFrame({"name_a": np.minimum(name, names[near]), "name_b": np.maximum(name, names[near])}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"name_a": [], "name_b": []}, dtype=np.int64)
-
-
-def _between_components(poor: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Possible links between poor sets of different components of the first pass.
-
-    A component is cut into blocks by size, and small ones share a block. Blocks of near sizes meet, but
-    never two blocks of one component; a task holds two blocks.
-    """
-    known = stage(
-        poor.join(classes, "ticket").join(labels, "name", "left").select("name", "size", "sketch", F.coalesce("component", "name").alias("component")).dropDuplicates(["name"]), "poor-sets"
-    )
-    groups = max(1, known.count() // BLOCK)
+    for i in range(len(left)):
+        for at, table in tables:
+            apart = np.flatnonzero(_near_sizes(sizes[i], sizes[at]) & (of[at] != of[i]))
+            gap = sketch_gap(marks[i], table[apart]).astype(np.int64) if len(apart) else apart
+            apart = at[apart[(100 + PERCENT) * gap <= (100 - PERCENT) * (sizes[i] + sizes[at[apart]])]]
+            for j in apart.tolist():
+                if of[i] != of[j] and _similar_sets(sets[i], sets[j]):
+                    out.append((names[i], names[j]))
+                    of[of == of[j]] = of[i]
+    return pd.DataFrame(out, columns=["name_a", "name_b"], dtype=np.int64)
+
+
+def _poor_blocks(poor: DataFrame, labels: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``block, span, name, size, sketch, shingles`` of the poor sets: sets of near sizes, of one component if
+    it is large, else of some. A block holds about ``BLOCK`` sets, fewer where they are large."""
+    known = poor.join(classes, "ticket").join(labels, "name", "left")
+    known = stage(known.select("name", "size", "sketch", F.coalesce("component", "name").alias("component")).dropDuplicates(["name"]), "poor-sets")
     span = F.floor(F.log("size") / math.log(100 / PERCENT)).cast("int")
-    sizes = known.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("members"))
-    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("members") / BLOCK))
-    blocked = known.join(sizes, F.col("component") == F.col("of")).select(
-        "name", "size", "sketch", "component", span.alias("span"), F.concat_ws("-", span, F.pmod(F.xxhash64("component"), F.lit(groups)), part).alias("block")
-    )
-    blocked = stage(blocked, "poor-blocks")
-    blocks = blocked.groupBy("block", "span").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    spanned = known.withColumn("span", span)
+    room = F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(100 / PERCENT), F.col("span") + 1)))).cast("long")
+    sizes = spanned.groupBy("component", "span").agg(F.count(F.lit(1)).alias("members"))
+    groups = sizes.groupBy("span").agg(F.ceil(F.sum("members") / F.first(room)).alias("groups"))
+    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("members") / room))
+    group = F.pmod(F.xxhash64("component"), F.col("groups"))
+    placed = spanned.join(sizes, ["component", "span"]).join(groups, "span")
+    placed = placed.select("name", "size", "sketch", "span", F.concat_ws("-", "span", group, part).alias("block"))
+    sets = _wanted_sets(rows, known.select("name"), classes)
+    return stage(placed.join(sets, "name"), "poor-blocks")
+
+
+def _met_blocks(blocked: DataFrame, labels: DataFrame, met: DataFrame) -> DataFrame:
+    """Links found where the blocks of ``met(block_a, block_b, pair)`` meet; ``labels`` are the components so far."""
+    fields = [F.col(c).alias(c) for c in ("pair", "name", "size", "sketch", "shingles", "component")]
+    current = blocked.join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    sides = [current.join(met.select(F.col(f"block_{k}").alias("block"), "pair"), "block").select(*fields) for k in "ab"]
+    found = sides[0].groupBy("pair").cogroup(sides[1].groupBy("pair")).applyInPandas(_forest, "name_a long, name_b long")
+    return stage(found, "links-between")
+
+
+def between_components(poor: DataFrame, links: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``links`` and those that the poor sets of different components still lack to be joined.
+
+    Every block meets itself first, then those of the same and the next sizes, but never a block whose
+    sets are all of the same component as its own."""
+    labels = components(links)
+    blocked = _poor_blocks(poor, labels, rows, classes)
+    own = blocked.select(F.col("block").alias("block_a"), F.col("block").alias("block_b"), F.col("block").alias("pair")).distinct()
+    links = links.unionByName(_met_blocks(blocked, labels, own))
+    labels = stage(components(links), "poor-components")
+    current = blocked.select("block", "span", "name").join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    blocks = current.groupBy("block", "span").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     one, two = (blocks.select(*[F.col(c).alias(f"{c}_{k}") for c in blocks.columns]) for k in "ab")
     two = two.withColumn("span_a", F.explode(F.array("span_b", F.col("span_b") - 1)))
     met = one.join(two, "span_a").where(
-        "(span_a < span_b or block_a <= block_b) and not (least_a = most_a and least_b = most_b and least_a = least_b)"
+        "(span_a < span_b or block_a < block_b) and not (least_a = most_a and least_b = most_b and least_a = least_b)"
     )
     met = stage(met.select("block_a", "block_b", F.concat_ws("|", "block_a", "block_b").alias("pair")), "block-pairs")
-    sides = [
-        blocked.join(met.select(F.col(f"block_{k}").alias("block"), "pair"), "block").select(*[F.col(c).alias(c) for c in ("pair", "name", "size", "sketch", "component")])
-        for k in "ab"
-    ]
-    return sides[0].groupBy("pair").cogroup(sides[1].groupBy("pair")).applyInPandas(_block_pairs, "name_a long, name_b long").distinct()
+    return links.unionByName(_met_blocks(blocked, labels, met))
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component, the smallest key that links reach."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).withColumn("spot", F.xxhash64("text"))
     planned = rows.count() * PER_DOCUMENT
     bits = min(24, max(6, math.ceil(math.log2(max(planned / PER_BUCKET, 1)))))
     measured = stage(rows.mapInArrow(_measure(bits), _MEASURED), "shingle-counts")
-    owned = measured.where("bucket is null").select("key", "size", "name", "sketch")
-    classes = owned.where("size > 0").groupBy("name").agg(F.min("key").alias("key"), F.max("size").alias("size"), F.max("sketch").alias("sketch"))
+    owned = measured.where("bucket is null").select("key", "spot", "size", "name", "sketch")
+    classes = owned.where("size > 0").groupBy("name").agg(
+        F.min("key").alias("key"), F.min("spot").alias("spot"), F.max("size").alias("size"), F.max("sketch").alias("sketch")
+    )
     number = F.pandas_udf(lambda name, size: pd.Series(ticket(name.to_numpy(), size.to_numpy()).view(np.int64)), "long")
     classes = stage(classes.withColumn("ticket", number("name", "size")), "shingle-classes")
     counted = measured.where("bucket is not null").select("bucket", "low", "times")
-    hot = _hot_filter(counted.groupBy("bucket").applyInArrow(_frequent, "place long").distinct())
-    given = rows.mapInArrow(_give(bits, hot), _GIVEN)
+    hot = Filter(stage(counted.groupBy("bucket").applyInArrow(_frequent, "h long").distinct(), "frequent-signatures"))
+    given = rows.select("text").mapInArrow(_give(bits, hot), _GIVEN)
     met = stage(given.groupBy("bucket").applyInArrow(_met, "a long, b long, star boolean"), "candidates")
     first = stage(_possible(met.select("a", "b").distinct(), classes), "possible-links")
     links = stage(exact_links(first, rows, classes), "links-found")
-    labels = components(links)
     poor = met.where("star").select(F.explode(F.array("a", "b")).alias("ticket")).distinct()
-    between = stage(_between_components(poor, labels, classes), "possible-between")
-    more = exact_links(between.join(first, ["name_a", "name_b"], "left_anti"), rows, classes)
-    final = components(links.unionByName(more))
-    members = owned.join(final, "name", "left").withColumn("component", F.coalesce("component", "name"))
-    whole = classes.join(final, "name", "left").groupBy(F.coalesce("component", "name").alias("component")).agg(F.min("key").alias("least"))
-    joined = members.join(whole, "component", "left")
+    final = components(between_components(poor, links, rows, classes))
+    told = classes.join(final, "name", "left").select("name", F.col("key").alias("class_key"), F.coalesce("component", "name").alias("component"))
+    least = told.groupBy("component").agg(F.min("class_key").alias("least"))
+    named = stage(told.join(least, "component").select("name", "least"), "component-keys")
+    joined = owned.select("key", "size", "name").join(named, "name", "left")
     return joined.select("key", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("key")).alias("component"))

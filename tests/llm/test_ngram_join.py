@@ -39,12 +39,13 @@ def brute(rows):
                 parent[find(i)] = find(j)
     least = {}
     for i, (key, _) in enumerate(sets):
-        least[find(i)] = min(least.get(find(i), key), key)
-    return sorted((key, len(s), least[find(i)]) for i, (key, s) in enumerate(sets))
+        if key is not None:
+            least[find(i)] = min(least.get(find(i), key), key)
+    return sorted(((key, len(s), least.get(find(i))) for i, (key, s) in enumerate(sets)), key=repr)
 
 
 def found(df):
-    return sorted((r.key, r.n_shingles, r.component) for r in ngram_join.link(df).collect())
+    return sorted(((r.key, r.n_shingles, r.component) for r in ngram_join.link(df).collect()), key=repr)
 
 
 def edited(words, rng, share):
@@ -57,6 +58,7 @@ def small_limits(monkeypatch):
     monkeypatch.setattr(ngram_join, "FEW", 3)
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     monkeypatch.setattr(ngram_join, "FLUSH", 500)
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", (6, 8))
 
 
 def hard_rows(seed):
@@ -85,8 +87,7 @@ def test_hard_table(spark, small_limits, seed):
 
 
 def test_odd_documents(odd_docs):
-    keyed = odd_docs.where("doc_id is not null")
-    assert found(keyed) == brute([(r.doc_id, r.text) for r in keyed.collect()])
+    assert found(odd_docs) == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert ngram_join.link(odd_docs).count() == odd_docs.count()
     assert ngram_join.link(odd_docs.limit(0)).count() == 0
 
@@ -94,7 +95,7 @@ def test_odd_documents(odd_docs):
 def test_all_documents(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = QUERIES["op4_ngram_join"](spark, sf_dir).collect()
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
 
 
 def test_similar_sets_share_a_given_signature():
@@ -128,3 +129,51 @@ def test_crowd_in_one_partition_and_a_few_elsewhere(spark, seed):
     rows = [(i, t) for i, t in enumerate(rows)]
     crowd, rest = (spark.createDataFrame(part, "doc_id long, text string").coalesce(1) for part in (rows[:36], rows[36:]))
     assert found(crowd.union(rest)) == brute(rows)
+
+
+def test_null_keys_link(spark, small_limits):
+    rng = random.Random(3)
+    rows = []
+    for n in range(8):
+        words = [f"n{n}-{i}" for i in range(70)]
+        rows += [(key, " ".join(edited(words, rng, 0.01))) for key in ((None, 5 + n), (None, None), (9, None, None))[n % 3]]
+    rows += [(None, "same text with six words here")] * 3 + [(2, "same text with six words here")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_a_crowd_of_near_copies_gives_no_pairs(spark, monkeypatch):
+    """All of 60 texts are alike, and 8 blocks of them meet; links stay below the number of sets."""
+    monkeypatch.setattr(ngram_join, "FEW", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    made = []
+
+    def counted(*given, real=ngram_join._met_blocks):
+        links = real(*given)
+        made.append((links.count(), given[2].count()))
+        return links
+
+    monkeypatch.setattr(ngram_join, "_met_blocks", counted)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(base, rng, 0.012))) for i in range(60)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    (own, blocks), (others, pairs) = made
+    assert blocks > 4 and own < 60 and others < 60 + pairs
+
+
+def test_forest_joins_what_links(spark):
+    import pandas as pd
+
+    rng = random.Random(1)
+    base = list(range(1, 200))
+    sets = [np.unique(np.array([x if rng.random() > 0.1 else rng.getrandbits(60) for x in base], np.uint64)) for _ in range(40)]
+    frame = pd.DataFrame({"name": range(40), "size": [len(s) for s in sets], "sketch": [ngram_join.sketch(s).tobytes() for s in sets], "shingles": [s.tobytes() for s in sets], "component": [i // 2 for i in range(40)]})
+    links = ngram_join._forest(frame, frame)
+    parent = [i // 2 for i in range(40)]
+    for a, b in links.itertuples(index=False):
+        assert ngram_join._similar_sets(sets[a], sets[b])
+        parent = [parent[a] if p == parent[b] else p for p in parent]
+    for a in range(40):
+        for b in range(40):
+            assert not ngram_join._similar_sets(sets[a], sets[b]) or parent[a] == parent[b]
+    assert len(links) == 20 - len(set(parent))
