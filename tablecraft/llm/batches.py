@@ -7,10 +7,17 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 500_000
 
 
+def plain_names(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns named by their places, which clash with no other name, and the new names of
+    ``columns``. ``toDF(*docs.columns)`` gives the names back."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [f"c{docs.columns.index(c)}" for c in columns]
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text each, at least one row. Vector work on one range
     then needs memory for that much text, however many rows a batch has."""

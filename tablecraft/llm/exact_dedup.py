@@ -89,7 +89,7 @@ def drop_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     """
     words = filter_words(docs.count())
     found = repeat_filter(docs.select(_hash(F.col(text)).alias("text_hash")), words)
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__doc"), docs[key].alias("__key"), F.coalesce(docs[text], F.lit("")).alias("__text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     marked = possibly_repeated(packed, _hash(F.col("__text")), found, words)
     alone = marked.where(~F.col("__maybe")).select("__doc")
     rank = F.struct(F.col("__key").isNotNull(), F.col("__key"))
@@ -99,4 +99,4 @@ def drop_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         .agg(F.max_by("__doc", rank).alias("__doc"))
         .select("__doc")
     )
-    return alone.unionByName(met).select("__doc.*")
+    return alone.unionByName(met).select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.batches import mix64, numbered, offsets, slices
+from tablecraft.llm.batches import mix64, numbered, offsets, plain_names, slices
 from tablecraft.sources import stage
 
 WIDTH, PERCENT = 5, 75
@@ -71,7 +71,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     hashed = np.fromiter(map(xxhash.xxh64_intdigest, distinct), _U, len(distinct))[index]
     run = np.zeros(max(len(hashed) - WIDTH + 1, 0), _U)
     for i in range(WIDTH):
-        run = mix64(run + hashed[i : len(hashed) - WIDTH + 1 + i] + _U(0x9E3779B97F4A7C15))
+        run = mix64(run + hashed[i : i + len(run)] + _U(0x9E3779B97F4A7C15))
     begins = offsets([len(s) for s in split])
     out = []
     for words, a, b in zip(split, begins[:-1].tolist(), begins[1:].tolist()):
@@ -517,7 +517,9 @@ def between_components(poor: DataFrame, links: DataFrame, rows: DataFrame, class
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n_shingles, component, the smallest key that links reach."""
+    """One row per document: key, spot (a hash of the text), n_shingles, component (the smallest key that links
+    reach), and cluster, a number of the component that also tells those without keys apart; it is null
+    where a document has no shingles."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).withColumn("spot", F.xxhash64("text"))
     planned = rows.count() * PER_DOCUMENT
     bits = min(24, max(6, math.ceil(math.log2(max(planned / PER_BUCKET, 1)))))
@@ -538,6 +540,23 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     final = components(between_components(poor, links, rows, classes))
     told = classes.join(final, "name", "left").select("name", F.col("key").alias("class_key"), F.coalesce("component", "name").alias("component"))
     least = told.groupBy("component").agg(F.min("class_key").alias("least"))
-    named = stage(told.join(least, "component").select("name", "least"), "component-keys")
-    joined = owned.select("key", "size", "name").join(named, "name", "left")
-    return joined.select("key", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("key")).alias("component"))
+    named = stage(told.join(least, "component").select("name", F.col("component").alias("cluster"), "least"), "component-keys")
+    joined = owned.join(named, "name", "left")
+    has_words = F.col("size") > 0
+    return joined.select(
+        "key", "spot", F.col("size").alias("n_shingles"), F.when(has_words, F.col("least")).otherwise(F.col("key")).alias("component"), F.when(has_words, F.col("cluster")).alias("cluster")
+    )
+
+
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without near copies, with their own columns: of linked documents the one with the
+    smallest key, nulls last, and of these the one whose text has the smallest hash. Documents without
+    shingles all stay."""
+    linked = link(docs, key=key, text=text)
+    first = F.min(F.struct(F.col("key").isNull().alias("unknown"), "key", "spot")).alias("head")
+    heads = linked.where("cluster is not null").groupBy("cluster").agg(first).select("head.key", "head.spot")
+    kept = heads.unionByName(linked.where("cluster is null").select("key", "spot")).distinct()
+    kept = stage(kept, "group-heads")
+    plain, (own_key, own_text) = plain_names(docs, key, text)
+    same = F.col(own_key).cast("long").eqNullSafe(F.col("key")) & (F.xxhash64(own_text) == F.col("spot"))
+    return plain.join(kept, same, "left_semi").toDF(*docs.columns)

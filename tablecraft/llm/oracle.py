@@ -6,7 +6,7 @@ ORACLE_SQL["op1_mix_sources"] = r"""
 with d as (
   select doc_id, source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-    ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 9))::bigint as draw
+    ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 9))::bigint as draw
   from documents),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 p as (select *, row_number() over (order by source asc nulls last) - 1 as place from s),
@@ -30,14 +30,15 @@ b as (select *, target - whole * source_size as budget from c),
 r as (
   select d.*, b.source_size, b.target, b.whole, b.budget,
     sum(size) over (partition by d.source order by draw range between unbounded preceding and current row)::bigint as reached,
-    sum(size) over (partition by d.source, draw)::bigint as width
+    sum(size) over (partition by d.source, draw)::bigint as width,
+    coalesce(sum(size) over (partition by d.source, draw order by size, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as ahead
   from d join b on d.source is not distinct from b.source),
-e as (select source, min(draw) as last_draw from r where reached > budget group by source),
+e as (select source, min(draw) as last_draw from r where reached > budget and budget > 0 group by source),
 k as (
   select r.*, whole + case
     when e.last_draw is null then 0
     when draw < e.last_draw then 1
-    when draw = e.last_draw and budget - (reached - width) >= width / 2 then 1
+    when draw = e.last_draw and budget - (reached - width) - ahead >= size / 2 then 1
     else 0 end as copies
   from r left join e on r.source is not distinct from e.source)
 select doc_id, size, source_size, target, (copies * size)::bigint as taken, source, copies::bigint as copies from k

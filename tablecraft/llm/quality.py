@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, slices
+from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, plain_names, slices
 
 PER_CLASS = 1500  # documents of the sample per label
 PASSAGE = 64  # words of a passage
@@ -206,3 +206,18 @@ def score(docs: DataFrame, model: Mil | None, *keep: str | Column, text: str = "
     given = docs.select(*keep, F.col(text).alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
     return given.mapInArrow(scored, f"{kinds}, score double")
+
+
+def keep_good(docs: DataFrame, model: Mil | None, *, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The documents whose score is at least ``least``, with their own columns, whatever their names. The
+    text goes to Python once and comes back only if it is kept."""
+    plain, (column,) = plain_names(docs, text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(column)
+            for start, stop in slices(texts):
+                scores = model.run(*measure(texts[start:stop].to_pylist()))["score"] if model else np.full(stop - start, 0.5)
+                yield batch.slice(start, stop - start).filter(pa.array(scores >= least))
+
+    return plain.mapInArrow(kept, plain.schema).toDF(*docs.columns)

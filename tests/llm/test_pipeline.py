@@ -72,3 +72,25 @@ def test_empty_documents(spark, sf_dir):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_columns_of_any_name_pass_every_stage(spark, sf_dir, odd_docs):
+    """Names that stages and operators use themselves, and one with a dot."""
+    docs = odd_docs.withColumn("a.b", F.lit(1)).withColumn("__kept", F.lit("x")).withColumn("cluster", F.lit(2))
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        left = step(spark, docs, sf_dir).cache()
+        assert left.columns == docs.columns, name
+        assert left.count() > 0
+        docs = left
+    encoded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert {r.doc_id for r in encoded.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_a_group_without_keys_keeps_one_document(spark, sf_dir):
+    words = " ".join(f"w{i}" for i in range(80))
+    other = " ".join(f"o{i}" for i in range(80))
+    rows = [(None, words), (None, words + " more"), (None, other), (3, other + " more"), (3, "not like any"), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.one_of_each_group(spark, docs, sf_dir)
+    texts = [r.text for r in left.collect()]
+    assert len(texts) == 5 and (words in texts) != (words + " more" in texts) and other + " more" in texts and other not in texts
