@@ -20,7 +20,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     held out."""
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
     model = quality.learn(docs, labels, F.coalesce(~held_out("doc_id"), F.lit(False)))
-    return quality.score(docs, model, *docs.columns, text="text").where("score >= 0.5").drop("score")
+    return quality.keep_good(docs, model)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that n-gram links join, the one with the smallest key. Texts are unique here, so
-    the rows to keep are told by key and digest."""
-    linked = ngram_join.link(docs)
-    kept = stage(linked.where("key <=> component").select(F.col("key").alias("__kept")).distinct(), "group-heads")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """Of documents that n-gram links join, the one with the smallest key."""
+    return ngram_join.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
