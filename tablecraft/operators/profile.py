@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -152,3 +153,107 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
         r = (product - sums * sums.T / both) / np.sqrt(spread * spread.T)
     rows = [(a, b, float(r[i, j]) if np.isfinite(r[i, j]) else None) for i, a in enumerate(names) for j, b in enumerate(names)]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+_SUMS = 6  # kinds of sums of a tile
+_ROUND = 32  # rows of one tile that are first added apart
+
+
+def _tile_sums(tiles: list[tuple[int, int]], block: int, means: list[float], places: dict[int, int]):
+    """For each tile of column blocks, over a task: sums of products, of values, of squares and of rows, each over
+    the rows where both columns of a pair are known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            part = batch.column(batch.num_columns - 1)[0].as_py() if batch.num_rows else 0
+            sides = {}
+            for b in {b for tile in tiles for b in tile}:
+                columns = [batch.column(places[c]) for c in range(b * block, min((b + 1) * block, len(means)))]
+                known = np.stack([np.asarray(c.is_valid()) for c in columns], axis=1).astype(float)
+                value = np.stack([c.fill_null(0).to_numpy(zero_copy_only=False) for c in columns], axis=1)
+                value = np.where(known > 0, value - np.array(means[b * block : b * block + len(columns)]), 0)
+                sides[b] = (value, known, value**2)
+            for i, j in tiles:
+                (v, k, q), (w, h, r) = sides[i], sides[j]
+                made = np.stack([v.T @ w, v.T @ h, k.T @ w, q.T @ h, k.T @ r, k.T @ h])
+                totals[i, j] = totals[i, j] + made if (i, j) in totals else made
+        for (i, j), made in totals.items():
+            columns = [pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([part % _ROUND], pa.int32()), pa.array([made.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "part", "sums"])
+
+    return run
+
+
+def _added_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the rows of each (i, j, part), which come sorted; holds one of them."""
+    held, total = None, None
+
+    def row() -> pa.RecordBatch:
+        columns = [pa.array([x], pa.int32()) for x in held] + [pa.array([total.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["i", "j", "part", "sums"])
+
+    for batch in batches:
+        for n in range(batch.num_rows):
+            key = tuple(batch.column(c)[n].as_py() for c in ("i", "j", "part"))
+            sums = np.frombuffer(batch.column("sums")[n].as_py())
+            if key == held:
+                total = total + sums
+            else:
+                if held is not None:
+                    yield row()
+                held, total = key, sums
+    if held is not None:
+        yield row()
+
+
+def _coefficients(names: list[str], block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                i, j = batch.column("i")[n].as_py(), batch.column("j")[n].as_py()
+                left, right = names[i * block : (i + 1) * block], names[j * block : (j + 1) * block]
+                product, sum_a, sum_b, square_a, square_b, both = np.frombuffer(batch.column("sums")[n].as_py()).reshape(_SUMS, len(left), len(right))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    spread_a, spread_b = square_a - sum_a**2 / both, square_b - sum_b**2 / both
+                    spread_a, spread_b = (np.where(s <= 1e-12 * q, 0, s) for s, q in ((spread_a, square_a), (spread_b, square_b)))
+                    r = (product - sum_a * sum_b / both) / np.sqrt(spread_a * spread_b)
+                a, b, flat = np.repeat(left, len(right)), np.tile(right, len(left)), r.ravel()
+                if i != j:
+                    a, b, flat = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([flat, flat])
+                values = pa.array(flat, pa.float64(), mask=~np.isfinite(flat))
+                yield pa.RecordBatch.from_arrays([pa.array(a.tolist(), pa.string()), pa.array(b.tolist(), pa.string()), values], names=["a", "b", "r"])
+
+    return run
+
+
+def correlation_tiles(df: DataFrame, columns: list[str] | None = None, *, block: int = 64, cells: int = 4_000_000) -> DataFrame:
+    """:func:`correlation_matrix` for any number of columns.
+
+    The columns are cut into blocks, and a tile holds the sums of all pairs between two blocks. A scan fills as
+    many tiles as ``cells`` numbers hold, so a task needs the same memory however wide the table is, and
+    reads the columns of its tiles only; more tiles take more scans. The sums of a tile are added in two
+    rounds, and its coefficients are computed where the last addition runs. Nothing but the means reaches the
+    driver, in pieces of some hundred columns.
+    """
+    names = columns or numeric_columns(df)
+    means: list[float] = []
+    for start in range(0, len(names), 200):
+        part = names[start : start + 200]
+        row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(part)]).first()
+        means += [m or 0.0 for m in row]
+    blocks = -(-len(names) // block)
+    tiles = [(i, j) for i in range(blocks) for j in range(i, blocks)]
+    at_once = max(1, cells // (_SUMS * block * block))
+    kinds = "i int, j int, part int, sums binary"
+    found = []
+    for start in range(0, len(tiles), at_once):
+        mine = tiles[start : start + at_once]
+        wanted = sorted({c for tile in mine for b in tile for c in range(b * block, min((b + 1) * block, len(names)))})
+        values = df.select(*[F.col(f"`{names[c]}`").cast("double").alias(f"v{c}") for c in wanted], F.spark_partition_id().alias("part"))
+        sums = values.mapInArrow(_tile_sums(mine, block, means, {c: n for n, c in enumerate(wanted)}), kinds)
+        first = sums.repartition("i", "j", "part").sortWithinPartitions("i", "j", "part").mapInArrow(_added_tiles, kinds)
+        whole = first.withColumn("part", F.lit(0)).repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(_added_tiles, kinds)
+        found.append(whole.mapInArrow(_coefficients(names, block), "a string, b string, r double"))
+    empty = df.sparkSession.createDataFrame([], "a string, b string, r double")
+    return reduce(DataFrame.unionAll, found) if found else empty

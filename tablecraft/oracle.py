@@ -529,6 +529,19 @@ select neg_through / neg_all, pos_through / pos_all, score from ranked""",
     + "select round(sum(neg * (pos_through - pos / 2)) / (max(pos_all) * max(neg_all)), 9) as auc from ranked",
 }
 
+ORACLE_SQL["correlation_tiles"] = ORACLE_SQL["correlation_matrix"]
+ORACLE_SQL["shape_from_footers"] = ORACLE_SQL["shape"]
+ORACLE_SQL["narrow_plan_from_footers"] = ORACLE_SQL["narrow_plan"]
+ORACLE_SQL["column_counts_from_footers"] = _with(LOANS) + "\nunion all\n".join(
+    f"select '{n}' as \"column\", count({n}) as non_null_count from loans" for n in LOAN_NAMES
+)
+ORACLE_SQL["roc_points_thinned"] = _with(LOANS, PREDICTED, _RANKED) + """
+select 0.0::double as fpr, 0.0::double as tpr, null::double as threshold
+union all
+select neg_through / neg_all, pos_through / pos_all, score from (
+  select *, lead(pos) over w as next_pos, lead(neg) over w as next_neg, row_number() over w as place
+  from ranked window w as (order by score desc))
+where place = 1 or next_pos is null or next_pos <> pos or next_neg <> neg"""
 ORACLE_SQL["active_user_events_reduced"] = ORACLE_SQL["active_user_events"]
 for _key in ("active_user_events", "user_sums", "activity_per_user", "cart_purchase_users"):
     ORACLE_SQL[f"bucketed_{_key}"] = ORACLE_SQL[_key]

@@ -36,6 +36,7 @@ from tablecraft.operators import reduce as reducing
 from tablecraft.plans import loans as loan_plan
 from tablecraft.plans import shop as shop_plan
 from tablecraft.sources import (
+    from_footers,
     read_csv,
     read_csv_with_rejects,
     read_parquet,
@@ -65,6 +66,7 @@ SHOP_REPORTS = [
     ("user_sums", "user_id", "product_id", "category_id", "price"),
     ("product_prices", "product_id", "mean_price"),
 ]
+DESCRIBED = ["product_id", "category_id", "price", "user_id"]
 NUMERIC_LOANS = ["loan_amnt", "installment", "annual_inc", "dti"]
 
 
@@ -228,27 +230,54 @@ def column_info(spark, sf_dir):
 
 @query
 def describe(spark, sf_dir):
-    described = profile.describe(_raw_events(spark, sf_dir), ["product_id", "category_id", "price", "user_id"])
-    return _rounded(described, "mean", "std")
+    rows = stage(_raw_events(spark, sf_dir).select(*DESCRIBED), "described")  # narrow, and read several times
+    return _rounded(profile.describe(rows, DESCRIBED), "mean", "std")
 
 
 @query
 def box_stats(spark, sf_dir):
-    return profile.box_stats(_events(spark, sf_dir), "price")
+    return profile.box_stats(stage(_events(spark, sf_dir).select("price"), "prices"), "price")
 
 
 @query
 def correlation_matrix(spark, sf_dir):
-    return _rounded(
-        profile.correlation_matrix(_events(spark, sf_dir), ["product_id", "category_id", "price", "user_id"]), "r"
-    )
+    rows = stage(_events(spark, sf_dir).select(*DESCRIBED), "correlated")
+    return _rounded(profile.correlation_matrix(rows, DESCRIBED), "r")
 
 
-# --- stored summaries ---------------------------------------------------------------------------
+@query
+def correlation_tiles(spark, sf_dir):
+    """The same by tiles of column pairs, small ones here, so that several scans make the matrix."""
+    rows = stage(_events(spark, sf_dir).select(*DESCRIBED), "correlated")
+    return _rounded(profile.correlation_tiles(rows, DESCRIBED, block=2, cells=48), "r")
 
-DESCRIBED = ["product_id", "category_id", "price", "user_id"]
+
+def _stored_loans(spark: SparkSession, sf_dir: str) -> str:
+    path = working_path(spark, "stored-loans")
+    write_parquet(loans(spark, sf_dir), path)
+    return path
 
 
+@query
+def shape_from_footers(spark, sf_dir):
+    return from_footers(spark, _stored_loans(spark, sf_dir), profile.shape)
+
+
+@query
+def column_counts_from_footers(spark, sf_dir):
+    found = from_footers(spark, _stored_loans(spark, sf_dir), profile.column_info)
+    return found.select("column", "non_null_count")
+
+
+@query
+def narrow_plan_from_footers(spark, sf_dir):
+    path = working_path(spark, "stored-events")
+    write_parquet(shop_events(spark, sf_dir).select(*DESCRIBED), path)
+    return from_footers(spark, path, clean.narrow_plan)
+
+
+# --- stored summaries ---------------------------------------------------------------------------
+
 @query
 def describe_sketch(spark, sf_dir):
     """The sketched description, and whether the exact ranks of its quartiles are where they should be."""
@@ -908,6 +937,11 @@ def roc_points(spark, sf_dir):
     return evaluate.roc_points(evaluate.score_groups(_predicted(spark, sf_dir), score="score"))
 
 
+@query
+def roc_points_thinned(spark, sf_dir):
+    return evaluate.roc_points_thinned(evaluate.score_groups(_predicted(spark, sf_dir), score="score"))
+
+
 @query
 def roc_auc(spark, sf_dir):
     return _rounded(evaluate.roc_auc(evaluate.score_groups(_predicted(spark, sf_dir), score="score")), "auc", digits=9)

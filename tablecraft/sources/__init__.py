@@ -1,7 +1,7 @@
 """Reading, writing and staging tables."""
 
-from tablecraft.sources.files import read_csv, read_parquet, write_csv, write_parquet
+from tablecraft.sources.files import from_footers, read_csv, read_parquet, read_statistics, write_csv, write_parquet
 from tablecraft.sources.rejects import read_csv_with_rejects
 from tablecraft.sources.workspace import stage, stage_bucketed, working_path
 
-__all__ = ["read_csv", "read_csv_with_rejects", "read_parquet", "write_csv", "write_parquet", "stage", "stage_bucketed", "working_path"]
+__all__ = ["from_footers", "read_csv", "read_csv_with_rejects", "read_parquet", "read_statistics", "write_csv", "write_parquet", "stage", "stage_bucketed", "working_path"]

@@ -245,3 +245,25 @@ def test_visitors(spark):
     )
     assert [tuple(r) for r in report.visitors_by_day(df).collect()] == [("2019-10-01", 2), ("2019-10-02", 1)]
     assert [tuple(r) for r in report.visitors_by_day(df, approximate=True).collect()] == [("2019-10-01", 2), ("2019-10-02", 1)]
+
+
+@pytest.mark.parametrize("block, cells", [(64, 4_000_000), (3, 100), (1, 6)])
+def test_correlation_in_tiles_is_the_matrix(spark, block, cells):
+    """Nulls in every column, a constant column, one without values, and numbers far from zero."""
+    import random
+
+    rng = random.Random(2)
+    data = []
+    for i in range(900):
+        x = rng.gauss(0, 1)
+        row = [x, 1e9 + x + rng.gauss(0, 0.1), -3 * x, 5.0, None, rng.random(), float(i)]
+        data.append([None if rng.random() < 0.1 else v for v in row] + [i % 4])
+    names = ["x", "far", "down", "same", "none", "a.b", "n"]
+    df = spark.createDataFrame(data, ", ".join(f"`{c}` double" for c in names) + ", k int").repartition(7)
+    whole = {(r.a, r.b): r.r for r in profile.correlation_matrix(df, [*names, "k"]).collect()}
+    tiled = profile.correlation_tiles(df, [*names, "k"], block=block, cells=cells).collect()
+    assert len(tiled) == 64 and {(r.a, r.b) for r in tiled} == set(whole)
+    for r in tiled:
+        assert (r.r is None) == (whole[r.a, r.b] is None)
+        assert r.r is None or r.r == pytest.approx(whole[r.a, r.b], abs=1e-9)
+    assert profile.correlation_tiles(df.limit(0), ["x", "n"]).where("r is not null").count() == 0

@@ -30,7 +30,7 @@ def test_matches_sql(spark, duck, sf_dir, key):
     if key in TYPES_DEPEND_ON_SCALE:
         found = [f for f in found if not f.startswith("type of")]
     assert found == []
-    check_plan(df, bounded_windows=key in {"roc_points", "roc_auc"})
+    check_plan(df, bounded_windows=key in {"roc_points", "roc_points_thinned", "roc_auc"})
 
 
 def test_limits_cut_rows(spark, sf_dir):

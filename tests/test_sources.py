@@ -6,8 +6,10 @@ from pathlib import Path
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
-from tablecraft.sources import read_csv, read_csv_with_rejects, stage, working_path, write_csv
+from tablecraft.operators import clean, profile
+from tablecraft.sources import from_footers, read_csv, read_csv_with_rejects, read_statistics, stage, working_path, write_csv
 from tests.conftest import rows
+from tests.test_plans import plan
 
 REPO = Path(__file__).resolve().parent.parent
 
@@ -129,3 +131,23 @@ def test_rejects_say_what_is_wrong(spark, tmp_path):
     assert kept.count() + rejects.select("record_no").distinct().count() == 11
     texts, none = read_csv_with_rejects(spark, str(tmp_path / "b.csv"), "a string, b string, day string")
     assert texts.count() == 1 and [r.record for r in none.collect()] == ["t"]
+
+
+def test_footers_answer_without_reading_pages(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 7 as k", "if(id % 3 = 0, null, string(id)) as s").write.parquet(path)
+    for report in (profile.shape, profile.column_info, lambda df: clean.narrow_plan(df.select("id", "k"))):
+        text = plan(report(read_statistics(spark, path)))
+        assert "PushedAggregation: [COUNT(" in text or "PushedAggregation: [MIN(" in text
+        assert rows(from_footers(spark, path, report)) == rows(report(spark.read.parquet(path)))
+    assert "BatchScan" not in plan(spark.read.parquet(path))
+
+
+def test_pages_are_read_where_footers_do_not_know(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1.0, None), (float("nan"), None)], "a double, c int").coalesce(1).write.parquet(path)
+    for c in ("a", "c"):
+        report = lambda df, c=c: clean.narrow_plan(df.select(c))
+        assert rows(from_footers(spark, path, report)) == rows(report(spark.read.parquet(path)))
+    with pytest.raises(Exception, match="no_such"):
+        from_footers(spark, path, lambda df: df.select("no_such"))
