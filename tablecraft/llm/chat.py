@@ -8,12 +8,13 @@ A turn is written as ``### role: text</turn>`` and a line break. Inside roles an
 ``###`` and ``</turn>`` (in roles also ``:``) get a backslash in front, so that no text can forge a
 mark, and reading back drops one backslash before any character.
 
-No conversation is ever one value. Its turns are written once, one row each, in order and with the
-characters before them, which says where every example begins, ends and is trained; an example is the
-turns up to its own. A conversation is read by one task as a stream of turns, sorted on disk where it
-is large, so its length is bounded by time, not by memory. Only an example that is asked for as text is
-one value and holds all its context; a value ends at 2 GB. Defined
-results: null texts and roles are empty; turns with equal numbers go by role, then text; null turn
+No conversation and no example is ever one value. Turns are written once, one row each, in order and with
+the characters before them. ``example_pieces`` expands them: one row for every turn of every example, at its
+place in the example, so an example may be as long as it likes. The turns of a conversation are dealt by
+chunks of ``CHUNK`` turns, and an example asks for its chunks, so a long conversation is expanded in many
+tasks. The expansion itself grows with the square of the turns of a conversation; that is what the method
+asks for. Only an example that is asked for as one text by ``examples`` is one value, which ends at 2 GB.
+Defined results: null texts and roles are empty; turns with equal numbers go by role, then text; null turn
 numbers come first; rows with a null conversation id form one conversation; an empty table gives no
 example. Other columns of any name do no harm.
 """
@@ -29,8 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tablecraft.llm.batches import slices
+from tablecraft.sources import stage
+
 TRAINED_ROLE = "assistant"
 END = "</turn>"
+CHUNK = 64  # turns that are dealt together
 FLUSH = 16_000_000  # characters of examples that a task holds before it passes them on
 _TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.DOTALL)
 _ESCAPE = re.compile(r"\\(.)", re.DOTALL)
@@ -131,42 +136,74 @@ def read_turns(text: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _TURN.findall(text)]
 
 
+def example_pieces(conversations: DataFrame) -> DataFrame:
+    """The examples of :func:`conversation_examples`, piece by piece: key, example (the number of its last turn),
+    piece, ``at`` (characters of the example before it), text, the loss span of the example, and whether it is
+    the ``last`` example of the conversation, which holds all turns."""
+    chunk = F.expr(f"(turn_no - 1) div {CHUNK}")
+    turns = conversations.select("key", "turn_no", "written", "before", chunk.alias("chunk"))
+    asked = conversations.where("trained or last").select(
+        F.col("key").alias("of"),
+        F.col("turn_no").alias("example"),
+        "loss_start",
+        "loss_end",
+        "last",
+        F.explode(F.sequence(F.lit(0).cast("long"), chunk)).alias("asked"),
+    )
+    same = F.col("key").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("asked")) & (F.col("turn_no") <= F.col("example"))
+    return turns.join(asked, same).select(
+        "key", "example", F.col("turn_no").alias("piece"), F.col("before").alias("at"), F.col("written").alias("text"), "loss_start", "loss_end", "last"
+    )
+
+
 def _digests(kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        kinds = (kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        names = ["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
+        kinds = (kind, pa.int64(), pa.string(), pa.int64(), pa.string())
         made: list[tuple] = []
+        key, begun = None, False
         whole, loss = hashlib.sha256(), hashlib.sha256()
-        n_turns = loss_chars = formatted = 0
-        for t in _in_order(batches):
-            if t["turn_no"] == 1:
-                whole, loss = hashlib.sha256(), hashlib.sha256()
-                n_turns = loss_chars = formatted = 0
-            written, before = t["written"], t["before"]
-            for r, said in read_turns(written):
-                n_turns += 1
-                whole.update(f"{r}\n{said}\n".encode("utf-8", "surrogatepass"))
-            if t["trained"] or t["last"]:
-                formatted += before + len(written)
-            if t["trained"]:
-                said = unescape(written[t["loss_start"] - before : t["loss_end"] - before])
+        n_turns = loss_chars = 0
+        for batch in batches:
+            for row in (r for a, b in slices(batch.column("text")) for r in batch.slice(a, b - a).to_pylist()):
+                if not begun or row["key"] != key:
+                    if begun:
+                        made.append((key, n_turns, whole.hexdigest(), loss_chars, loss.hexdigest()))
+                    key, begun = row["key"], True
+                    whole, loss = hashlib.sha256(), hashlib.sha256()
+                    n_turns = loss_chars = 0
+                text, at = row["text"], row["at"]
+                said = unescape(text[max(row["loss_start"] - at, 0) : max(row["loss_end"] - at, 0)])
                 loss_chars += len(said)
                 loss.update(said.encode("utf-8", "surrogatepass"))
-            if t["last"]:
-                made.append((t["key"], n_turns, whole.hexdigest(), loss_chars, loss.hexdigest(), formatted))
-            if len(made) >= 10_000:
+                for r, t in read_turns(text) if row["last"] else ():
+                    n_turns += 1
+                    whole.update(f"{r}\n{t}\n".encode("utf-8", "surrogatepass"))
+            if len(made) >= 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
                 made = []
-        if made:
+        if begun:
+            made.append((key, n_turns, whole.hexdigest(), loss_chars, loss.hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
 
     return run
 
 
 def read_back(conversations: DataFrame) -> DataFrame:
-    """What the examples of each conversation say when they are read again: turns from the written turns
-    that the last example is made of, trained text from the loss spans of all. One row per
-    conversation, hashed turn by turn."""
+    """What the written examples of each conversation say when they are read again, one row per conversation:
+    the turns of its last example, the text under the loss masks of all, and the characters of all.
+
+    All is taken from the pieces, which are written first. The characters are counted where the pieces lie; the
+    pieces under a mask and those of the last example, as many as there are turns, are hashed in order, one
+    conversation in one task, as SHA-256 needs it, and none is held whole.
+    """
     key = conversations.schema["key"].dataType
-    kinds = f"key {key.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return conversations.mapInArrow(_digests(to_arrow_type(key)), kinds)
+    pieces = stage(example_pieces(stage(conversations, "chat-turns")), "chat-examples")
+    counted = pieces.groupBy("key").agg(F.sum(F.char_length("text")).cast("long").alias("formatted_chars"))
+    masked = "at < loss_end and at + char_length(text) > loss_start"
+    wanted = pieces.where(f"last or ({masked})").repartition("key").sortWithinPartitions("key", "example", "piece")
+    fields = wanted.select("key", "text", "at", "loss_start", "loss_end", "last")
+    kinds = f"key {key.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string"
+    digests = fields.mapInArrow(_digests(to_arrow_type(key)), kinds)
+    counted = counted.withColumnRenamed("key", "counted")
+    return digests.join(counted, F.col("key").eqNullSafe(F.col("counted"))).drop("counted")

@@ -4,6 +4,8 @@ import hashlib
 import html
 import re
 
+from pyspark.sql import functions as F
+
 from tablecraft.llm import chat, html_text
 from tablecraft.llm.queries import QUERIES
 
@@ -38,6 +40,27 @@ def test_odd_conversations_read_back(spark):
     assert chat.conversation_examples(turns.limit(0)).count() == 0
 
 
+def test_pieces_are_the_examples(spark, monkeypatch):
+    """Joined, the pieces of every example are its text, whatever the size of a chunk; digests come from them."""
+    monkeypatch.setattr(chat, "CHUNK", 3)
+    rows = [(k, i, ("system", "user", "assistant", "tool")[(i * 7 + (k or 0)) % 4], f"turn {i} </turn> \\") for k in (None, 1, 2, 3) for i in range(3 + 4 * (k or 5))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.conversation_examples(turns)
+    joined = {}
+    for r in chat.example_pieces(made).orderBy("key", "example", "piece").collect():
+        whole = joined.setdefault((r.key, r.example), ["", r.loss_start, r.loss_end])
+        assert r.at == len(whole[0])
+        whole[0] += r.text
+    assert joined == {(r.key, r.turn_no): [r.text, r.loss_start, r.loss_end] for r in chat.examples(turns).collect()}
+    pieces = chat.example_pieces
+    monkeypatch.setattr(chat, "example_pieces", lambda c: pieces(c).withColumn("text", F.replace("text", F.lit("turn 2"), F.lit("torn 2"))))
+    found = {r.key: r for r in chat.read_back(made).collect()}
+    for key, r in found.items():
+        said = [(role, text.replace("turn 2", "torn 2")) for k, _, role, text in rows if k == key]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == brute(said)
+        assert r.formatted_chars == sum(len(x[0]) for (k, _), x in joined.items() if k == key)
+
+
 def test_long_conversations_are_streamed(spark):
     """3000 turns: all examples of one would be 2.2 billion characters."""
     given = {k: [(("user", "assistant")[i % 2], f"{i} " + "long text " * 100) for i in range(3000)] for k in (None, 1)}
