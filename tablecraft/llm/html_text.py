@@ -11,8 +11,9 @@ the clustered lines in them count, and the region is the smallest such element t
 or else all such elements that hold some.
 
 Defined results: null or empty pages, and pages without text, give an empty text; unclosed and stray
-tags are closed by their surroundings; character references are decoded as browsers do. Every page is
-one value and is read as a whole.
+tags are closed by their surroundings, and an excluded element that was left open also by a start tag that
+cannot be inside it, such as ``article`` in ``nav`` or ``p`` in ``button``; character references are decoded as
+browsers do. Every page is one value and is read as a whole, in time and memory that grow with its length.
 """
 
 from __future__ import annotations
@@ -54,6 +55,14 @@ BESIDE = frozenset(
     "main top bottom left right side site page global primary secondary user reader bar box list item items link links button buttons icon icons media "
     "area wrapper wrap container block panel form section widget slot unit inner outer post posts articles story stories content more".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Start tags that cannot be inside an excluded element: there it was left open.
+ENDED_BY = {
+    **dict.fromkeys(("nav", "header", "footer", "menu", "dialog"), frozenset(REGIONS)),
+    **dict.fromkeys(("aside", "form"), frozenset(["main"])),
+    **dict.fromkeys(("button", "select", "option"), frozenset(("p", "section", "nav", "header", "footer", "aside", *REGIONS)) | _HEADINGS),
+    "head": frozenset(("body", "header", "nav", "p", "section", *REGIONS)) | _HEADINGS,
+}
 BODIES = frozenset(("html", "body", "div", "section", "center", *REGIONS))  # what can be a region
 MOST = 0.6  # share of the clustered text that article and main must hold to be believed
 WIDTH = 1.0  # standard deviation of the smoothing, in lines
@@ -62,14 +71,18 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects ``(text, tags, containers)`` of every line outside excluded elements."""
+    """Collects ``(text, tags, container)`` of every line outside excluded elements. Containers are numbered
+    in the order of their start tags; ``parents`` and ``names`` tell about each. Every tag takes the same time,
+    however many elements are open."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.names: list[str] = ["html"]  # by container number
-        self.open: list[tuple[str, int]] = []  # element, container number
-        self.path: tuple[int, ...] = (0,)
+        self.parents: list[int] = [-1]
+        self.open: list[tuple[str, int, int]] = []  # element, container number, how many that are not inline up to it
+        self.places: dict[str, list[int]] = {}  # of the open elements, by name
+        self.inner = 0  # the innermost open container
         self.off = 0  # depth of the outermost excluded element, 0 for none
         self.parts: list[str] = []
         self.tags = 1
@@ -77,11 +90,11 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.path))
+            self.lines.append((text, self.tags, self.inner))
         self.parts, self.tags = [], 1
 
     def _excluded(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        inside = any(name in REGIONS for name, _ in self.open)
+        inside = any(self.places.get(name) for name in REGIONS)
         if tag in NEVER or (tag in HEADERS and not inside):
             return True
         if tag in PIECES or tag in ("html", "body", *REGIONS):
@@ -96,6 +109,8 @@ class _Lines(HTMLParser):
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.off and tag in ENDED_BY.get(self.open[self.off - 1][0], ()):
+            self._cut(self.off - 1)  # left open: this cannot be inside it
         if tag in CLOSES_P:
             self._close("p")
         if tag == "br":
@@ -111,20 +126,26 @@ class _Lines(HTMLParser):
         elif tag not in INLINE:
             number = len(self.names)
             self.names.append(tag)
-        self.open.append((tag, number))
-        if number >= 0:
-            self.path = (*self.path, number)
+            self.parents.append(self.inner)
+            self.inner = number
+        blocks = (self.open[-1][2] if self.open else 0) + (tag not in INLINE)
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, number, blocks))
 
     def _close(self, tag: str) -> None:
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
-        if at is None or (tag == "p" and any(n not in INLINE for n, _ in self.open[at + 1 :])):
+        at = self.places[tag][-1] if self.places.get(tag) else None
+        if at is None or (tag == "p" and self.open[-1][2] > self.open[at][2]):
             return
-        closed = self.open[at:]
-        if any(name not in INLINE for name, _ in closed):
+        self._cut(at)
+
+    def _cut(self, at: int) -> None:
+        """Close the open elements from a place on."""
+        if self.open[-1][2] > (self.open[at - 1][2] if at else 0):
             self._end_line()
-        gone = sum(number >= 0 for _, number in closed)
-        if gone:
-            self.path = self.path[:-gone]
+        for name, number, _ in reversed(self.open[at:]):
+            self.places[name].pop()
+            if number >= 0:
+                self.inner = self.parents[number]
         del self.open[at:]
         if self.off > len(self.open):
             self.off = 0
@@ -178,20 +199,44 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = _smoothed([len(text) / tags for text, tags, _ in lines])
     border = _threshold(ratios)
-    clustered = [(len(text), path) for (text, _, path), ratio in zip(lines, ratios) if ratio >= border]
-    clustered = clustered or [(len(text), path) for text, _, path in lines]
-    named = [(n, path) for n, path in clustered if any(reader.names[k] in REGIONS for k in path)]
+    clustered = [(len(text), at) for (text, _, at), ratio in zip(lines, ratios) if ratio >= border]
+    clustered = clustered or [(len(text), at) for text, _, at in lines]
+    in_named = _inherited(reader.parents, [name in REGIONS for name in reader.names])
+    named = [(n, at) for n, at in clustered if in_named[at]]
     if sum(n for n, _ in named) >= MOST * sum(n for n, _ in clustered):
         clustered, may = named, frozenset(REGIONS)
     else:
         may = BODIES
-    shared = set.intersection(*(set(path) for _, path in clustered))
-    holders = [k for k in shared if reader.names[k] in may]
-    if holders:
-        regions = {max(holders)}
+    shared = _common(reader.parents, min(at for _, at in clustered), max(at for _, at in clustered))
+    while shared >= 0 and reader.names[shared] not in may:
+        shared = reader.parents[shared]
+    if shared >= 0:
+        regions = {shared}
     else:
-        regions = {next(k for k in path if reader.names[k] in may) for _, path in clustered}
-    return " ".join(text for text, _, path in lines if not regions.isdisjoint(path))
+        inside = _inherited(reader.parents, [name in may for name in reader.names])
+        outermost = {k for k, parent in enumerate(reader.parents) if inside[k] and not (parent >= 0 and inside[parent])}
+        holding = _inherited(reader.parents, [k if k in outermost else 0 for k in range(len(reader.names))])
+        regions = {holding[at] for _, at in clustered}
+    kept = _inherited(reader.parents, [k in regions for k in range(len(reader.names))])
+    return " ".join(text for text, _, at in lines if kept[at])
+
+
+def _inherited(parents: list[int], own: list) -> list:
+    """For every container what it has itself, or else what its parent has."""
+    held: list = []
+    for parent, mine in zip(parents, own):
+        held.append(mine or (held[parent] if parent >= 0 else mine))
+    return held
+
+
+def _common(parents: list[int], first: int, last: int) -> int:
+    """The innermost container that holds two others, and all that are numbered between them and lie in either."""
+    while first != last:
+        if first > last:
+            first = parents[first]
+        else:
+            last = parents[last]
+    return first
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,12 @@
 
 import hashlib
 import html
+import math
 import re
+import time
+import tracemalloc
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -156,3 +161,39 @@ def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, "text"), (None, "<p>x</p>", None), (1, None, "text")], "page_id long, html string, text string")
     assert sorted((str(r.page_id), r.text) for r in html_text.extract(pages, "page_id").collect()) == [("1", ""), ("1", ""), ("None", "x")]
     assert html_text.extract(pages.limit(0), "page_id").count() == 0
+
+
+@pytest.mark.parametrize("part", ["<div>some words here ", "<b>some words here ", "<p><b>some words ", "<section><p>some words here", "<nav><div>x", "<div><p>a</div>", "</p></div>x "])
+def test_nested_and_stray_tags_take_linear_time(part):
+    begun = time.process_time()
+    html_text.main_text(part * (2_000_000 // len(part)))
+    assert time.process_time() - begun < 60
+    tracemalloc.start()
+    html_text.main_text(part * (200_000 // len(part)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
+def test_furniture_that_was_left_open():
+    text = prose("a", 4)
+    for left in ("<nav><a href=x>Home</a>", "<header><b>Site name</b>", "<menu><li>Home"):
+        for region in ("article", "main"):
+            assert html_text.main_text(f"<body>{left}<{region}><h1>Title</h1>{text}</{region}></body>") == "Title " + said(text)
+    for left in ("<button>Press", "<select><option>One<option>Two"):
+        assert html_text.main_text(f"<body><div>{left}{text}</div></body>") == said(text)
+    assert html_text.main_text(f"<head><title>t</title><p>{text}") == said(text)
+    teasers = "<aside><article><p>Another story of many words, which is told elsewhere.</p></article></aside>"
+    assert html_text.main_text(f"<body><article>{text}</article>{teasers}</body>") == said(text)
+
+
+def test_clusters_find_the_text_of_pages_without_regions(monkeypatch):
+    """No name and no element says where the content is; only the ratio of text to tags does."""
+    links = "".join(f"<li><a href='{i}'><b>Go</b> <i>{i}</i></a></li>" for i in range(12))
+    for outer in ("div", "section"):
+        text = prose("it", 6)
+        page = f"<body><div><ul>{links}</ul></div><div><{outer}><h2>Title</h2>{text}</{outer}></div><div><ul>{links}</ul></div></body>"
+        assert html_text.main_text(page) == "Title " + said(text)
+        with monkeypatch.context() as off:
+            off.setattr(html_text, "_threshold", lambda values: -math.inf)
+            assert html_text.main_text(page) != "Title " + said(text)
