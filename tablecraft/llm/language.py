@@ -25,10 +25,11 @@ from itertools import cycle, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, slices
+from tablecraft.llm.sampling import smallest_of_each
 
 PER_LANGUAGE = 400  # documents of the sample per language
 STRETCHES, STRETCH = 4, 20  # stretches of words per sampled document, words per stretch
@@ -97,8 +98,16 @@ class Crf:
         return np.add.reduceat(self.weights[ids], begins[:-1])
 
     def mean_posteriors(self, texts: list[list[str]]) -> np.ndarray:
-        """Mean probability of each language over the words of each text, exactly as by forward-backward
-        over the whole text.
+        """Mean probability of each language over the words of each text."""
+        return self._passed(texts, False)[0]
+
+    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Probability of each language for every word of each text."""
+        return self._passed(texts, True)[1]
+
+    def _passed(self, texts: list[list[str]], by_word: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Mean probabilities of the texts and, if asked for, those of their words, exactly as by
+        forward-backward over whole texts.
 
         The words are cut into chunks of ``CHUNK``. The product of the transfer matrices of a chunk is
         formed for all chunks at once, the products are chained along each text, and with the messages
@@ -147,12 +156,20 @@ class Crf:
             into /= into.sum(axis=1, keepdims=True)
             forward[t] = into
         sums = np.zeros((total, n_lang))
+        words = np.empty((total, CHUNK, n_lang)) if by_word else None
         for t in range(CHUNK - 1, -1, -1):
             both = forward[t] * out_of
-            sums += np.where(real[:, t, None], both / both.sum(axis=1, keepdims=True), 0)
+            both = both / both.sum(axis=1, keepdims=True)
+            sums += np.where(real[:, t, None], both, 0)
+            if by_word:
+                words[:, t] = both
             out_of = np.einsum("cij,cj->ci", transfer(t), out_of)
             out_of /= out_of.sum(axis=1, keepdims=True)
-        return group_sums(sums, first_chunk) / np.maximum(counts, 1)[:, None]
+        mean = group_sums(sums, first_chunk) / np.maximum(counts, 1)[:, None]
+        if not by_word:
+            return mean, []
+        flat = words.reshape(total * CHUNK, n_lang)
+        return mean, [flat[a * CHUNK : a * CHUNK + n] for a, n in zip(first_chunk[:-1].tolist(), counts.tolist())]
 
 
 def _sequence_gradient(scores: np.ndarray, moves: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,13 +265,11 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, may_learn: Column, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Crf:
     """Train on at most ``per_language`` documents of each language among the rows where ``may_learn``
-    holds. Only keys are ranked, and Spark keeps the first of each task before it shuffles them."""
+    holds. Only keys near the threshold of the sample are ranked."""
     rows = docs.where(may_learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     chance = F.xxhash64(F.col(key).cast("string"), F.lit("language"))
-    ranked = rows.select(F.col(key).alias("__key"), F.col(lang).alias("__lang"), chance.alias("__chance")).withColumn(
-        "__rank", F.row_number().over(Window.partitionBy("__lang").orderBy("__chance", "__key"))
-    )
-    chosen = ranked.where(F.col("__rank") <= per_language).select("__key", F.col("__lang").alias("lang")).distinct()
+    drawn = rows.select(F.col(key).alias("__key"), F.col(lang).alias("lang"), chance.alias("__chance"))
+    chosen = smallest_of_each(drawn, "lang", "__chance", per_language, ties="__key").select("__key", "lang").distinct()
     sample = rows.select(F.col(key).alias("__own"), F.col(text).alias("text"), F.col(lang).alias("__own_lang")).join(
         F.broadcast(chosen), F.col("__own").eqNullSafe(F.col("__key")) & (F.col("__own_lang") == F.col("lang"))
     )
@@ -262,6 +277,51 @@ def learn(docs: DataFrame, may_learn: Column, *, key: str = "doc_id", text: str
     return train([(r.lang, list(r.words)) for r in found])
 
 
+def word_places(text: str) -> list[tuple[int, int]]:
+    """Where the words of :func:`words_of` begin and end in the text as it is written."""
+    lower = text.lower()
+    found = [m.span() for m in WORD.finditer(lower)]
+    if len(lower) == len(text):
+        return found
+    at = offsets([len(c.lower()) for c in text])  # some letters become two
+    return [(int(np.searchsorted(at, a, "right")) - 1, int(np.searchsorted(at, b, "left"))) for a, b in found]
+
+
+def _spans(text: str, likely: np.ndarray, languages: list[str]) -> list[dict]:
+    """Neighbouring words of one language as one span, with the least probability of its words."""
+    made: list[dict] = []
+    for (begin, end), best, p in zip(word_places(text), likely.argmax(axis=1).tolist(), likely.max(axis=1).tolist()):
+        if made and made[-1]["lang"] == languages[best]:
+            made[-1] |= {"end": end, "posterior": min(made[-1]["posterior"], p)}
+        else:
+            made.append({"begin": begin, "end": end, "lang": languages[best], "posterior": p})
+    return made
+
+
+def label_words(docs: DataFrame, model: Crf, *keep: str | Column, text: str = "text") -> DataFrame:
+    """The columns ``keep`` and ``spans``: the stretches of each text with the language of their words, as
+    ``(begin, end, lang, posterior)`` in code points, end exclusive. Texts without words have none."""
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("lang", pa.string()), ("posterior", pa.float64())]))
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, found = batch.column("__text"), []
+            for start, stop in slices(texts):
+                given = texts[start:stop].to_pylist()
+                words = [words_of(t) for t in given]
+                has = [i for i, w in enumerate(words) if w and model.languages]
+                spans: list[list[dict]] = [[] for _ in given]
+                for i, likely in zip(has, model.posteriors([words[i] for i in has]) if has else []):
+                    spans[i] = _spans(given[i], likely, model.languages)
+                found += spans
+            rest = [c for c in batch.schema.names if c != "__text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(found, kind)], names=[*rest, "spans"])
+
+    given = docs.select(*keep, F.col(text).alias("__text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
+    return given.mapInArrow(labelled, f"{kinds}, spans array<struct<begin:long,end:long,lang:string,posterior:double>>")
+
+
 def predict(docs: DataFrame, model: Crf, *keep: str | Column, text: str = "text") -> DataFrame:
     """The columns ``keep``, ``lang_pred`` and ``score``, one row per document."""
 

@@ -22,9 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.llm.sampling import smallest_of_each
 from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, plain_names, slices
 
 PER_CLASS = 1500  # documents of the sample per label
@@ -178,11 +179,12 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, *, key: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> Mil | None:
     """Train on at most ``per_class`` documents of each label among the rows of ``labels`` where
-    ``may_learn`` holds. Only keys are ranked; the chosen keys are few by that bound and are broadcast."""
+    ``may_learn`` holds. Only keys near the threshold of the sample are ranked; the chosen keys are few by that
+    bound and are broadcast."""
     known = labels.where(may_learn & F.col(label).isin(0, 1)).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("label"))
     chance = F.xxhash64(F.col("__key").cast("string"), F.lit("quality"))
-    ranked = known.withColumn("__rank", F.row_number().over(Window.partitionBy("label").orderBy(chance, "__key")))
-    chosen = ranked.where(F.col("__rank") <= per_class).select("__key", "label").distinct()
+    drawn = known.withColumn("__chance", chance)
+    chosen = smallest_of_each(drawn, "label", "__chance", per_class, ties="__key").select("__key", "label").distinct()
     sample = docs.select(F.col(key).alias("__own"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("__own") == F.col("__key"))
     found = sample.select(F.col("__own").cast("string").alias("key"), "label", "text").mapInArrow(_measured, "key string, label int, bag array<float>").collect()
     found = sorted(found, key=lambda r: (r.key, r.label, r.bag))

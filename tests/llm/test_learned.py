@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablecraft.llm import language, quality
+from tablecraft.llm import language, quality, sampling
 from tablecraft.llm.batches import offsets
 from tablecraft.llm.queries import QUERIES
 
@@ -140,3 +140,50 @@ def test_quality_of_odd_documents(spark, odd_docs):
     assert quality.score(odd_docs.limit(0), model, "doc_id").count() == 0
     nothing = quality.learn(odd_docs, labels.limit(0), F.lit(True))
     assert {r.score for r in quality.score(odd_docs, nothing, "doc_id").collect()} == {0.5}
+
+
+def test_words_of_switched_text_are_labelled(spark, field):
+    text = "The house, and the house of THE İx House -- und der mit haus; der von haus und"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "... 12"), (4, "the and of"), (4, "the and of")], "doc_id long, text string")
+    rows = sorted(language.label_words(docs, field, "doc_id").collect(), key=lambda r: r.doc_id)
+    assert [[s.lang for s in r.spans] for r in rows] == [["en", "de"], [], [], ["en"], ["en"]]
+    first, second = rows[0].spans
+    assert text[first.begin : first.end] == "The house, and the house of THE İx House"
+    assert text[second.begin : second.end] == "und der mit haus; der von haus und"
+    words = language.words_of(text)
+    likely = field.posteriors([["the"], words, []])
+    assert [len(x) for x in likely] == [1, len(words), 0]
+    assert likely[1].mean(axis=0) == pytest.approx(field.mean_posteriors([words])[0], abs=1e-12)
+    assert len(language.word_places(text)) == len(words)
+    plain = text.replace("İ", "")
+    assert [plain[a:b].lower() for a, b in language.word_places(plain)] == language.words_of(plain)
+    empty = language.train([])
+    assert [r.spans for r in language.label_words(docs, empty, "doc_id").collect()] == [[]] * 5
+
+
+def test_samples_are_the_smallest_hashes_of_each_class(spark):
+    rows = spark.range(30_000).selectExpr("id as k", "if(id % 10 = 0, 'few', if(id < 25, 'rare', 'many')) as c", "xxhash64(id) as h").repartition(9)
+    sample = sampling.smallest_of_each(rows, "c", "h", 40, ties="k")
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r.c, []).append((r.h, r.k))
+    got = {}
+    for r in sample.collect():
+        got.setdefault(r.c, []).append((r.h, r.k))
+    assert {c: sorted(x) for c, x in got.items()} == {c: sorted(x)[:40] for c, x in want.items()}
+    assert sampling.smallest_of_each(rows.limit(0), "c", "h", 40, ties="k").count() == 0
+
+
+def test_attention_is_that_of_a_plain_loop():
+    """Scores of documents by single passages, one after the other."""
+    random = np.random.default_rng(6)
+    bags = [random.normal(size=(n, quality.FEATURES)) for n in (1, 4, 2, 9)]
+    model = quality.train(bags, [1, 0, 1, 0])
+    p, wanted = model.parts, []
+    for bag in bags:
+        codes = [np.tanh(np.clip((x - model.mean) / model.scale, -8, 8) @ p["encode"] + p["encode_0"]) for x in bag]
+        raw = [float((np.tanh(c @ p["side"]) / (1 + np.exp(-(c @ p["gate"])))) @ p["attend"]) for c in codes]
+        weight = np.exp(np.array(raw) - max(raw))
+        passage = sum(w * c for w, c in zip(weight / weight.sum(), codes))
+        wanted.append(1 / (1 + np.exp(-(passage @ p["score"] + p["score_0"]))))
+    assert model.run(np.concatenate(bags), offsets([len(b) for b in bags]))["score"] == pytest.approx(wanted, abs=1e-9)
