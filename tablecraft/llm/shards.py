@@ -5,8 +5,9 @@ side. Every partition of that order sums its own sizes; the totals of the partit
 give the offset of each partition, and offset plus own sum is the position of every row in the whole
 table. Cutting the positions at equal targets gives the shards.
 
-A cut that falls into a run of equal texts moves to the nearer end of the run when the run is small
-against a shard (``SLACK``), so only large groups of copies are divided.
+A cut that falls into a run of equal texts moves to the nearer end of the run when the run is at most
+``slack`` of a shard, so only large groups of copies are divided; shards then differ by at most that and one
+row. ``slack=0`` divides every group at the row that is nearest, ``slack=1`` none that is smaller than a shard.
 
 Defined results: a null text has size 1 and the checksum of no bytes, 0; null keys come first among
 equal texts; repeated rows are rows of their own; with fewer rows than shards some shards are empty;
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.sources import stage
 
-SLACK = 0.01
+SLACK = 0.01  # share of a shard
 
 
 def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +79,7 @@ def placed_rows(docs: DataFrame, *, key: str, text: str) -> DataFrame:
     )
 
 
-def cuts(placed: DataFrame, shards: int) -> list[tuple[int, int]]:
+def cuts(placed: DataFrame, shards: int, slack: float = SLACK) -> list[tuple[int, int]]:
     """Where shards 1, 2, ... begin, in bytes and in rows. At most ``shards`` rows and as many runs of
     equal texts reach the driver.
 
@@ -105,7 +106,7 @@ def cuts(placed: DataFrame, shards: int) -> list[tuple[int, int]]:
         if at is None:
             raise RuntimeError(f"no row holds the beginning of shard {n} of {shards}")
         run = known[at.text_hash]
-        if (run["last"] - run["first"]) * shards <= SLACK * total:
+        if (run["last"] - run["first"]) * shards <= slack * total:
             low, high = (run["first"], run.first_row), (run["last"], run.last_row + 1)
         else:
             low, high = (at.start, at.row), (at.start + at.size, at.row + 1)
@@ -113,14 +114,14 @@ def cuts(placed: DataFrame, shards: int) -> list[tuple[int, int]]:
     return found
 
 
-def shard(docs: DataFrame, shards: int = 16, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, *, key: str = "doc_id", text: str = "text", slack: float = SLACK) -> DataFrame:
     """One row per document: key, size, text_crc32, shard, slot.
 
     ``slot`` counts the rows of a shard from 0 without gaps, because a shard is one stretch of the
     order and the row number at its beginning is known.
     """
     placed = placed_rows(docs, key=key, text=text)
-    begins = [(0, 0), *cuts(placed, shards)]
+    begins = [(0, 0), *cuts(placed, shards, slack)]
     number = F.lit(0)
     first = F.lit(0).cast("long")
     for n, (_, row) in enumerate(begins):

@@ -135,6 +135,21 @@ def test_shards_have_near_equal_bytes(spark):
     assert all(len(x) == 1 for x in shards_of.values())
 
 
+def test_slack_decides_whether_copies_are_divided(spark):
+    """Groups of 100 copies in four shards of 500 rows: every cut falls into a group or beside it."""
+    rows = [(i, f"text {i // 100:02d} of some length") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for slack, divided in ((0.0, None), (0.19, None), (1.0, 0)):
+        by, shards_of = Counter(), defaultdict(set)
+        for r in shards.shard(docs, 3, slack=slack).collect():
+            by[r.shard] += r.size
+            shards_of[r.text_crc32].add(r.shard)
+        split = sum(len(x) > 1 for x in shards_of.values())
+        largest, size = max(len(t) + 1 for _, t in rows), sum(len(t) + 1 for _, t in rows) / 3
+        assert all(abs(b - size) <= slack * size + largest for b in by.values())
+        assert split == 0 if divided == 0 or slack >= 0.16 else split > 0
+
+
 def test_no_cut_is_lost_where_a_row_begins_just_below_its_target(spark):
     shards_, shard_bytes = 16, 2_000_000_000
     sizes, aims = [], [shard_bytes * n for n in range(1, shards_)]

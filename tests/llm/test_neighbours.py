@@ -59,3 +59,15 @@ def test_odd_vectors(spark):
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: (r.query_id, r.rank))]
     assert got == [(0, 1, None, 2.0), (0, 2, 1, 1.0), (0, 3, 1, 1.0), (0, 4, 2, 0.5), (0, 5, 3, -1.0)]
     assert neighbours.search(table.limit(0), F.lit(True), 20).count() == 0
+
+
+def test_recall_over_several_full_shards(spark):
+    """Three shards of about ``PER_SHARD`` rows, in clusters and with uneven norms; a few hundred queries."""
+    random = np.random.default_rng(9)
+    n = 2 * neighbours.PER_SHARD + 1000
+    centres = random.normal(size=(60, 24))
+    vectors = (centres[random.integers(0, 60, n)] + 0.4 * random.normal(size=(n, 24))) * random.uniform(0.5, 1.5, size=(n, 1))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(8)
+    rows = neighbours.search(table, F.col("vec_id") % 40 == 0, 20).collect()
+    share, asked = recall(rows, np.arange(n), vectors, 20)
+    assert asked == len(range(0, n, 40)) and share > 0.9
