@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.batches import mix64, numbered, offsets, plain_names, slices
+from tablecraft.llm.batches import mix64, numbered, offsets, plain_names, slices, tidy
 from tablecraft.sources import stage
 
 WIDTH, PERCENT = 5, 75
@@ -392,7 +392,7 @@ def _wanted_sets(rows: DataFrame, names: DataFrame, classes: DataFrame) -> DataF
                     [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["name", "shingles"]
                 )
 
-    sets = rows.select("spot", "text").mapInArrow(run, "name long, shingles binary")
+    sets = rows.select("spot", "text").mapInArrow(tidy(run), "name long, shingles binary")
     return sets.join(asked.select("name"), "name", "left_semi").dropDuplicates(["name"])
 
 
@@ -523,7 +523,7 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).withColumn("spot", F.xxhash64("text"))
     planned = rows.count() * PER_DOCUMENT
     bits = min(24, max(6, math.ceil(math.log2(max(planned / PER_BUCKET, 1)))))
-    measured = stage(rows.mapInArrow(_measure(bits), _MEASURED), "shingle-counts")
+    measured = stage(rows.mapInArrow(tidy(_measure(bits)), _MEASURED), "shingle-counts")
     owned = measured.where("bucket is null").select("key", "spot", "size", "name", "sketch")
     classes = owned.where("size > 0").groupBy("name").agg(
         F.min("key").alias("key"), F.min("spot").alias("spot"), F.max("size").alias("size"), F.max("sketch").alias("sketch")
@@ -532,7 +532,7 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFra
     classes = stage(classes.withColumn("ticket", number("name", "size")), "shingle-classes")
     counted = measured.where("bucket is not null").select("bucket", "low", "times")
     hot = Filter(stage(counted.groupBy("bucket").applyInArrow(_frequent, "h long").distinct(), "frequent-signatures"))
-    given = rows.select("text").mapInArrow(_give(bits, hot), _GIVEN)
+    given = rows.select("text").mapInArrow(tidy(_give(bits, hot)), _GIVEN)
     met = stage(given.groupBy("bucket").applyInArrow(_met, "a long, b long, star boolean"), "candidates")
     first = stage(_possible(met.select("a", "b").distinct(), classes), "possible-links")
     links = stage(exact_links(first, rows, classes), "links-found")

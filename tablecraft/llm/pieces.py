@@ -36,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.batches import mix64, numbered, offsets, slices
+from tablecraft.llm.batches import mix64, numbered, offsets, slices, tidy
 
 SPACE = "▁"
 _LITERAL = "\udc00"  # stands for a literal U+2581; no valid text holds it
 _BASE = np.uint64(0x100000001B3)
 _NEVER = -np.inf
-SLICE = 300_000  # bytes of text whose words share a lattice
+SLICE = 100_000  # bytes of text whose words share a lattice
 _ALL = (1 << 64) - 1
 
 
@@ -515,7 +515,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, k: int, *, key: str = "doc_i
     With ``check`` every sample is decoded again and ``round_trip`` says whether the text came back."""
     kind = docs.schema[key].dataType.simpleString()
     kinds = f"key {kind}, sample int, log_prob double, log_inclusion double, ids array<int>" + ", round_trip boolean" * check
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(_rows(vocabulary, k, check), kinds)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(tidy(_rows(vocabulary, k, check)), kinds)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.llm.sampling import smallest_of_each
-from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, plain_names, slices
+from tablecraft.llm.batches import group_sums, mix64, numbered, offsets, plain_names, slices, tidy
 
 PER_CLASS = 1500  # documents of the sample per label
 PASSAGE = 64  # words of a passage
@@ -207,7 +207,7 @@ def score(docs: DataFrame, model: Mil | None, *keep: str | Column, text: str = "
 
     given = docs.select(*keep, F.col(text).alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(scored, f"{kinds}, score double")
+    return given.mapInArrow(tidy(scored), f"{kinds}, score double")
 
 
 def keep_good(docs: DataFrame, model: Mil | None, *, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -222,4 +222,4 @@ def keep_good(docs: DataFrame, model: Mil | None, *, text: str = "text", least:
                 scores = model.run(*measure(texts[start:stop].to_pylist()))["score"] if model else np.full(stop - start, 0.5)
                 yield batch.slice(start, stop - start).filter(pa.array(scores >= least))
 
-    return plain.mapInArrow(kept, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(tidy(kept), plain.schema).toDF(*docs.columns)
