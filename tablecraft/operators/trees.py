@@ -82,6 +82,12 @@ def _forest(nodes: DataFrame) -> Column:
     return F.from_json(F.lit(json.dumps(list(trees.values()))), kind)
 
 
+def _with_entries(df: DataFrame, features: str) -> DataFrame:
+    """``df`` with the entries of the vector as the array ``__x``. A column of its own, so that a row's vector is
+    unfolded once and not at every step in every tree."""
+    return df.withColumn("__x", F.col(features) if isinstance(df.schema[features].dataType, T.ArrayType) else vector_to_array(features))
+
+
 def _next(node: Column, x: Column) -> Column:
     """The child that a row goes to."""
     value = F.element_at(x, node["feature"] + 1)
@@ -107,20 +113,19 @@ def leaves(forest: Column, x: Column, depth: int) -> Column:
 def forest_scores(df: DataFrame, nodes: DataFrame, *, features: str = "features", name: str = "score", depth: int | None = None) -> DataFrame:
     """Adds the probability of class 0 of a forest: the mean share of the class in the leaves. One pass
     without a shuffle."""
-    x = vector_to_array(features) if not isinstance(df.schema[features].dataType, T.ArrayType) else F.col(features)
     forest = _forest(nodes)
-    reached = leaves(forest, x, _depth(nodes) if depth is None else depth)
+    reached = leaves(forest, F.col("__x"), _depth(nodes) if depth is None else depth)
     shares = F.transform(reached, lambda leaf: leaf["stats"][0] / F.aggregate(leaf["stats"], F.lit(0.0), lambda a, v: a + v))
-    return df.withColumn(name, F.aggregate(shares, F.lit(0.0), lambda a, v: a + v, lambda a: a / F.size(forest)))
+    score = F.aggregate(shares, F.lit(0.0), lambda a, v: a + v, lambda a: a / F.size(forest))
+    return _with_entries(df, features).withColumn(name, score).drop("__x")
 
 
 def boosted_scores(df: DataFrame, nodes: DataFrame, *, features: str = "features", name: str = "score", depth: int | None = None) -> DataFrame:
     """Adds the probability of class 0 of boosted trees with logistic loss: the weighted sum ``m`` of the
     leaves' predictions stands for the odds ``exp(2 m)`` of class 1."""
-    x = vector_to_array(features) if not isinstance(df.schema[features].dataType, T.ArrayType) else F.col(features)
-    reached = leaves(_forest(nodes), x, _depth(nodes) if depth is None else depth)
+    reached = leaves(_forest(nodes), F.col("__x"), _depth(nodes) if depth is None else depth)
     margin = F.aggregate(reached, F.lit(0.0), lambda a, leaf: a + leaf["weight"] * leaf["prediction"])
-    return df.withColumn(name, 1 / (1 + F.exp(2 * margin)))
+    return _with_entries(df, features).withColumn(name, 1 / (1 + F.exp(2 * margin))).drop("__x")
 
 
 def refit(df: DataFrame, nodes: DataFrame, *, features: str = "features", label: str = "label", classes: int = 2) -> DataFrame:
@@ -129,7 +134,7 @@ def refit(df: DataFrame, nodes: DataFrame, *, features: str = "features", label:
     Each row counts at every node on its way. The ways are counted by (tree, node, class) before the shuffle, so
     a task sends a few rows per node.
     """
-    x = vector_to_array(features) if not isinstance(df.schema[features].dataType, T.ArrayType) else F.col(features)
+    x = F.col("__x")
     depth = _depth(nodes)
 
     def way(tree: Column) -> Column:
@@ -142,7 +147,7 @@ def refit(df: DataFrame, nodes: DataFrame, *, features: str = "features", label:
             ),
         )
 
-    ways = df.select(F.col(label).cast("int").alias("class"), F.posexplode(F.transform(_forest(nodes), way)).alias("tree", "way"))
+    ways = _with_entries(df, features).select(F.col(label).cast("int").alias("class"), F.posexplode(F.transform(_forest(nodes), way)).alias("tree", "way"))
     counted = ways.select("class", "tree", F.explode("way").alias("node")).groupBy("tree", "node").agg(
         F.array(*[F.count_if(F.col("class") == c).cast("double") for c in range(classes)]).alias("stats")
     )
