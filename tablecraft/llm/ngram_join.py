@@ -58,6 +58,7 @@ FILTER_BITS = 16, 27  # places of a filter, as a power of two, at least and at m
 PER_ENTRY = 16  # places for each entry of a filter
 BLOCK = 1024  # poor sets of a block
 BLOCK_SHINGLES = 1 << 20  # shingles of a block, for large sets
+AT_ONCE = 500_000  # links a task makes stars of at once
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _U = np.uint64
 _SIZE_BITS = 20
@@ -416,29 +417,72 @@ def exact_links(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFr
     return met.where(similar("set_a", "set_b")).select("name_a", "name_b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``name, component`` for the ends of ``links(name_a, name_b)``: the smallest name reachable.
+def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links ``u, v`` of a task as stars around the smallest name that they reach among themselves, at most
+    as many as there were; ``AT_ONCE`` links at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) > AT_ONCE:
+            yield _star_links(held)
+            held = []
+    if held:
+        yield _star_links(held)
+
+
+def _star_links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    ends = [np.concatenate([x.column(c).to_numpy() for x in held]) for c in ("u", "v")]
+    names, at = np.unique(np.concatenate(ends), return_inverse=True)
+    u, v = np.split(at, 2)
+    root = np.arange(len(names))
+    while len(apart := np.flatnonzero(root[u] != root[v])):
+        u, v = u[apart], v[apart]
+        low = np.minimum(root[u], root[v])
+        np.minimum.at(root, np.maximum(root[u], root[v]), low)
+        while (root != (nearer := root[root])).any():
+            root = nearer
+    leaf = np.flatnonzero(root != np.arange(len(names)))
+    return pa.RecordBatch.from_arrays([pa.array(names[leaf]), pa.array(names[root[leaf]])], names=["u", "v"])
+
+
+def _nodes(edges: DataFrame) -> DataFrame:
+    """``u, low, high``: the smallest and the largest neighbour of every node."""
+    both = edges.unionByName(edges.selectExpr("v as u", "u as v"))
+    return both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """``links(name_a, name_b)`` as stars, written to the shared folder: one link, perhaps repeated, from each name
+    to the smallest one that it reaches.
 
     Alternating large and small stars: neighbours above a node, then below it, are moved to its
-    smallest neighbour, until nothing moves. Every round is written to the shared folder.
+    smallest neighbour, until every node with a smaller neighbour has no other one. Every task
+    first makes stars of the links that it has read, so that few rounds are left, and none where
+    links are stars already. A step makes no more links than it got; none is dropped but copies within a
+    task, so links pass a shuffle only to meet the smallest neighbours.
     """
-    edges = stage(links.selectExpr("greatest(name_a, name_b) as u", "least(name_a, name_b) as v").where("u <> v").distinct(), "links")
-    while True:
+
+    def reduced(edges: DataFrame, name: str) -> DataFrame:
+        return stage(edges.mapInArrow(tidy(_reduced), "u long, v long"), name)
+
+    edges = reduced(links.selectExpr("greatest(name_a, name_b) as u", "least(name_a, name_b) as v").where("u <> v"), "links")
+    while not _nodes(edges).where("low < u and low < high").isEmpty():
+        least = _nodes(edges).selectExpr("u", "least(low, u) as m")
         both = edges.unionByName(edges.selectExpr("v as u", "u as v"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.distinct(), "large-star")
+        large = reduced(both.where("v > u").join(least, "u").selectExpr("v as u", "m as v"), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u")
-        small = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        small = stage(small, "small-star")
-        same = F.struct("u", "v")
-        marks = [x.agg(F.count(F.lit(1)), F.sum(F.xxhash64(same).cast("decimal(38,0)"))).first() for x in (edges, small)]
-        edges = small
-        if marks[0] == marks[1]:
-            break
-    roots = edges.select(F.col("u").alias("name"), F.col("v").alias("component"))
-    return roots.unionByName(edges.select(F.col("v").alias("name"), F.col("v").alias("component"))).groupBy("name").agg(F.min("component").alias("component"))
+        edges = reduced(large.join(least, "u").selectExpr("if(v = m, u, v) as u", "m as v"), "small-star")
+    return edges.selectExpr("u as name_a", "v as name_b")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``name, component`` for the ends of ``links(name_a, name_b)``: the smallest name reachable."""
+    return _labels(stars(links))
+
+
+def _labels(joined: DataFrame) -> DataFrame:
+    """``name, component`` of the names in stars."""
+    return _nodes(joined.selectExpr("name_a as u", "name_b as v")).selectExpr("u as name", "least(low, u) as component")
 
 
 def _forest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -496,15 +540,16 @@ def _met_blocks(blocked: DataFrame, labels: DataFrame, met: DataFrame) -> DataFr
 
 
 def between_components(poor: DataFrame, links: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """``links`` and those that the poor sets of different components still lack to be joined.
+    """``links`` as stars, and those links that the poor sets of different components still lack to be joined.
 
     Every block meets itself first, then those of the same and the next sizes, but never a block whose
     sets are all of the same component as its own."""
-    labels = components(links)
+    joined = stars(links)
+    labels = _labels(joined)
     blocked = _poor_blocks(poor, labels, rows, classes)
     own = blocked.select(F.col("block").alias("block_a"), F.col("block").alias("block_b"), F.col("block").alias("pair")).distinct()
-    links = links.unionByName(_met_blocks(blocked, labels, own))
-    labels = stage(components(links), "poor-components")
+    joined = stars(joined.unionByName(_met_blocks(blocked, labels, own)))
+    labels = _labels(joined)
     current = blocked.select("block", "span", "name").join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
     blocks = current.groupBy("block", "span").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     one, two = (blocks.select(*[F.col(c).alias(f"{c}_{k}") for c in blocks.columns]) for k in "ab")
@@ -513,7 +558,7 @@ def between_components(poor: DataFrame, links: DataFrame, rows: DataFrame, class
         "(span_a < span_b or block_a < block_b) and not (least_a = most_a and least_b = most_b and least_a = least_b)"
     )
     met = stage(met.select("block_a", "block_b", F.concat_ws("|", "block_a", "block_b").alias("pair")), "block-pairs")
-    return links.unionByName(_met_blocks(blocked, labels, met))
+    return joined.unionByName(_met_blocks(blocked, labels, met))
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

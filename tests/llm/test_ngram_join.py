@@ -177,3 +177,62 @@ def test_forest_joins_what_links(spark):
         for b in range(40):
             assert not ngram_join._similar_sets(sets[a], sets[b]) or parent[a] == parent[b]
     assert len(links) == 20 - len(set(parent))
+
+
+def staged(monkeypatch):
+    """The names of the tables that the join writes from here on."""
+    names = []
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name, real=ngram_join.stage, **more: names.append(name) or real(df, name, **more))
+    return names
+
+
+def reached(links):
+    """The smallest name that each name reaches."""
+    parent = {x: x for link in links for x in link}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("at_once", [5, 500_000])
+def test_components_of_hard_graphs(spark, monkeypatch, at_once):
+    monkeypatch.setattr(ngram_join, "AT_ONCE", at_once)
+    rng = random.Random(4)
+    names = [rng.getrandbits(63) - 2**62 for _ in range(900)]
+    chain, hub, rest = names[:200], names[200:400], names[400:]
+    links = list(zip(chain, chain[1:])) + [(max(hub), x) for x in hub] + [tuple(rng.sample(rest, 2)) for _ in range(260)]
+    links += [(rest[0], rest[0]), *links[:50], *[(b, a) for a, b in links[-50:]]]
+    rng.shuffle(links)
+    # Only names with a link of two ends have a component.
+    want = {k: v for k, v in reached(links).items() if any(a != b and k in (a, b) for a, b in links)}
+    got = ngram_join.components(spark.createDataFrame(links, "name_a long, name_b long").repartition(9)).collect()
+    assert sorted(map(tuple, got)) == sorted(want.items())
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that are stars already, in any number of partitions and with copies, are only checked."""
+    names = staged(monkeypatch)
+    links = [(10 * k, 10 * k + i) for k in range(30) for i in range(1, 8)] * 2
+    got = ngram_join.components(spark.createDataFrame(links, "name_a long, name_b long").repartition(8)).collect()
+    assert sorted(map(tuple, got)) == sorted(reached(links).items())
+    assert names == ["links"]
+
+
+def test_rounds_of_a_chain_and_of_what_joins_two_chains(spark, monkeypatch):
+    """Tasks join their own links first, so a chain in order takes few rounds; what is joined stays so."""
+    names = staged(monkeypatch)
+    chain = [(i, i + 1) for i in range(2000) if i != 1000]
+    joined = ngram_join.stars(spark.createDataFrame(chain, "name_a long, name_b long").repartitionByRange(8, "name_a"))
+    assert names.count("large-star") <= 3
+    first = len(names)
+    more = spark.createDataFrame([(1000, 1001)], joined.schema)
+    both = ngram_join.components(joined.unionByName(more)).collect()
+    assert sorted(map(tuple, both)) == [(i, 0) for i in range(2001)]
+    assert names[first:].count("large-star") <= 2
