@@ -1,5 +1,8 @@
 """What must not grow with the table, or not be done twice."""
 
+import pathlib
+import time
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from tablecraft import queries
 from tablecraft.operators import features, models, trees
 from tablecraft.plans import loans as loan_plan
+from tablecraft.sources import release, stage
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +87,66 @@ def test_loans_are_staged_narrow_and_where_they_lie(spark, sf_dir, monkeypatch):
     assert "id" in staged["loans"][0] and not {"url", "issue_d", "emp_title", "policy_code"} & set(staged["loans"][0])
     assert "hashpartitioning" not in staged["settled-loans"][2] and not staged["settled-loans"][1]
     assert vectors.count() and "loan_amnt" in names
+
+
+@pytest.mark.parametrize("key", [None, "id"])
+def test_spread_rows_are_written_once(vectors, key):
+    """A fit asks for the plan of its rows again and again: it must not hold a shuffle."""
+    told = features.spread(vectors.drop("label"), key, entries=400)
+    assert "Exchange" not in told._jdf.queryExecution().executedPlan().toString()
+    assert told.rdd.getNumPartitions() >= 20 and max(per_partition(told)) < 2 * 200
+    assert told.schema["features"].metadata == vectors.schema["features"].metadata
+
+
+def test_fit_rows_leave_the_key_out(vectors):
+    assert "id" not in loan_plan.fit_rows(vectors, "id").columns and loan_plan.fit_rows(vectors).count() == 4000
+
+
+def folder_of(df):
+    return pathlib.Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).parent
+
+
+@pytest.mark.parametrize("query", ["loan_study", "model_gbt"])
+def test_spent_tables_are_deleted_before_the_fits(spark, sf_dir, monkeypatch, query):
+    staged, left = {}, []
+
+    def told(df, name, **options):
+        made = real(df, name, **options)
+        staged[name] = folder_of(made)
+        return made
+
+    def spread(df, *key):
+        left.extend(name for name, folder in staged.items() if folder.exists())
+        raise InterruptedError
+
+    real = queries.stage
+    monkeypatch.setattr(queries, "stage", told)
+    monkeypatch.setattr(loan_plan, "stage", told)
+    monkeypatch.setattr(features, "spread", spread)
+    with pytest.raises(InterruptedError):
+        queries.QUERIES[query](spark, sf_dir)
+    assert set(staged) == {"loans", "settled-loans", "vectors"} and left == ["vectors"]
+
+
+def test_release_deletes_staged_tables_only(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "given"))
+    given, made = spark.read.parquet(str(tmp_path / "given")), stage(spark.range(5), "numbers")
+    folder = folder_of(made)
+    assert folder.exists()
+    release(made.join(given, "id"))
+    assert not folder.exists() and given.count() == 5
+
+
+def shuffled(spark):
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for folder in local for f in pathlib.Path(folder).rglob("shuffle_*")}
+
+
+def test_a_staged_table_leaves_no_shuffle_behind(spark):
+    before = shuffled(spark)
+    made = stage(spark.range(10_000).repartition(3, "id"), "numbers")
+    until = time.time() + 20
+    while shuffled(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled(spark) - before and made.count() == 10_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
