@@ -2,8 +2,9 @@
 
 The vectors are dealt evenly into shards of about ``PER_SHARD`` rows. Each shard builds a hierarchical
 graph over its distinct vectors and is stored as one row of flat arrays: vectors, and for each layer
-the neighbour numbers of every node. Queries meet every shard in blocks of ``PER_BLOCK``; a shard
-answers with its best ``k`` rows for each query, and the answers of all shards are merged.
+the neighbour numbers of every node. Queries meet every shard in blocks of at most ``PER_BLOCK``; a shard
+answers with its best ``k`` rows for each query, and the answers of all shards are merged. The distances of some
+queries to all vectors of a shard come from one product of matrices, and the walks through the graph look them up.
 
 Nearness is the inner product. A graph needs a metric, so every vector gets one more component that
 makes all vectors of the shard equally long; then the nearest by distance is the largest inner
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from tablecraft.sources import stage
 
 PER_SHARD = 4096
-PER_BLOCK = 2048
+PER_BLOCK = 8192
+LEAST_BLOCK = 2048  # queries are cut into up to four blocks of this size, so that a few shards make enough tasks
+AT_ONCE = 256  # queries whose distances to a shard are held at a time
 LINKS = 12  # links of a node on upper layers, twice as many on the ground
 BREADTH = 64  # width of the search while building
 ANSWER_BREADTH = 96  # width of the search for a query
@@ -75,6 +78,50 @@ class Graph:
         return self._near(query, near, self.layers[0], breadth)
 
 
+def _walk(far: list[float], starts: list[int], links: list[list[int]], breadth: int) -> list[tuple[float, int]]:
+    """What :meth:`Graph._near` finds, from known distances ``far`` to all nodes."""
+    push, pop, swap = heapq.heappush, heapq.heappop, heapq.heapreplace
+    seen = bytearray(len(far))
+    for s in starts:
+        seen[s] = 1
+    found = [(far[s], s) for s in starts]
+    best = [(-d, s) for d, s in found]
+    heapq.heapify(found)
+    heapq.heapify(best)
+    room = breadth - len(best)
+    while found:
+        d, node = pop(found)
+        if room <= 0 and d > -best[0][0]:
+            break
+        for n in links[node]:
+            if seen[n]:
+                continue
+            seen[n] = 1
+            d = far[n]
+            if room > 0:
+                push(best, (-d, n))
+                room -= 1
+            elif d < -best[0][0]:
+                swap(best, (-d, n))
+            else:
+                continue
+            push(found, (d, n))
+    return sorted((-d, n) for d, n in best)
+
+
+def walk_down(far: list[float], layers: list[list[list[int]]], entry: int, breadth: int) -> list[int]:
+    """The nodes that :meth:`Graph.search` finds, nearest first, from known distances to all nodes."""
+    near = [entry]
+    for links in reversed(layers[1:]):
+        near = [_walk(far, near, links, 1)[0][1]]
+    return [n for _, n in _walk(far, near, layers[0], breadth)]
+
+
+def link_lists(layer: np.ndarray) -> list[list[int]]:
+    """The neighbours of every node of a layer; a row holds them first and -1 behind."""
+    return [row[:n] for row, n in zip(layer.tolist(), (layer >= 0).sum(axis=1).tolist())]
+
+
 def _spread(vectors: np.ndarray, near: list[tuple[float, int]], most: int) -> list[int]:
     """Links for a node: near ones that are nearer to it than to a link already taken, then the rest."""
     nodes = [n for _, n in near]
@@ -157,37 +204,42 @@ def _store(shard: pd.DataFrame) -> pd.DataFrame:
 _INDEX = "shard long, dim long, entry long, vectors binary, extra binary, layers array<binary>, members binary, rows binary, ids binary, no_id binary"
 
 
+_FOUND = "query_row long, query_id long, row long, vec_id long, score double"
+
+
 def _answer(k: int):
     def answer(index: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = []  # (query number, scores, rows, ids, whether the id is null)
         for stored in index.itertuples():
-            asked = block[block["dim"] == stored.dim]
-            if asked.empty:
+            asked = np.flatnonzero((block["dim"] == stored.dim).to_numpy())
+            if not len(asked):
                 continue
             vectors = np.frombuffer(stored.vectors).reshape(-1, stored.dim)
-            extra = np.frombuffer(stored.extra)
-            layers = [np.frombuffer(b, np.int32).reshape(len(vectors), -1) for b in stored.layers]
-            graph = Graph(np.concatenate([vectors, extra[:, None]], axis=1), layers, stored.entry)
+            lengths = np.einsum("ij,ij->i", vectors, vectors) + np.frombuffer(stored.extra) ** 2
+            layers = [link_lists(np.frombuffer(b, np.int32).reshape(len(vectors), -1)) for b in stored.layers]
             members, rows, ids = (np.frombuffer(b, np.int64) for b in (stored.members, stored.rows, stored.ids))
             no_id = np.frombuffer(stored.no_id, bool)
             begins = np.searchsorted(members, np.arange(len(vectors) + 1))
-            for q in asked.itertuples():
-                query = np.asarray(q.vector, np.float64)
-                near = graph.search(np.append(query, 0.0), max(ANSWER_BREADTH, k))
-                nodes = np.array([n for _, n in near])
-                spans = [np.arange(begins[n], begins[n + 1]) for n in nodes]
-                score = np.repeat(vectors[nodes] @ query, [len(s) for s in spans])
-                at = np.concatenate(spans)
-                fine = rows[at] != q.row
-                at, score = at[fine], score[fine]
-                best = np.lexsort((ids[at], no_id[at], -score))[:k]
-                found = at[best]
-                out.append(pd.DataFrame({"query_row": q.row, "query_id": q.id, "row": rows[found], "vec_id": pd.array(ids[found], dtype="Int64"), "score": score[best]}).assign(hidden=no_id[found]))
+            own = block["row"].to_numpy(np.int64)
+            for some in np.array_split(asked, -(-len(asked) // AT_ONCE)):
+                queries = np.stack(block["vector"].iloc[some].to_numpy()).astype(np.float64)
+                apart = lengths + np.einsum("ij,ij->i", queries, queries)[:, None] - 2 * (queries @ vectors.T)
+                for q, query, far in zip(some, queries, apart):
+                    nodes = np.array(walk_down(far.tolist(), layers, stored.entry, max(ANSWER_BREADTH, k)))
+                    size = begins[nodes + 1] - begins[nodes]
+                    score = np.repeat(vectors[nodes] @ query, size)
+                    at = np.repeat(begins[nodes] - (np.cumsum(size) - size), size) + np.arange(len(score))
+                    fine = rows[at] != own[q]
+                    at, score = at[fine], score[fine]
+                    best = np.lexsort((ids[at], no_id[at], -score))[:k]
+                    found = at[best]
+                    out.append((np.full(len(found), q), score[best], rows[found], ids[found], no_id[found]))
         if not out:
             return pd.DataFrame({"query_row": [], "query_id": [], "row": [], "vec_id": [], "score": []})
-        made = pd.concat(out, ignore_index=True)
-        made.loc[made.pop("hidden"), "vec_id"] = pd.NA
-        return made
+        asked, score, row, vec_id, hidden = (np.concatenate(part) for part in zip(*out))
+        of = block[["row", "id"]].iloc[asked].reset_index(drop=True)
+        named = pd.Series(pd.array(vec_id, dtype="Int64")).mask(hidden)
+        return pd.DataFrame({"query_row": of["row"], "query_id": of["id"], "row": row, "vec_id": named, "score": score})
 
     return answer
 
@@ -219,11 +271,12 @@ def search(table: DataFrame, is_query: Column, k: int = 20, *, key: str = "vec_i
     shards = max(1, -(-rows.count() // PER_SHARD))
     index = build_index(rows.drop("asks"), shards)
     asked = rows.where("asks").drop("asks")
-    blocks = max(1, -(-asked.count() // PER_BLOCK))
+    n = asked.count()
+    blocks = max(1, -(-n // PER_BLOCK), min(4, -(-n // LEAST_BLOCK)))
     index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     )
-    found = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_answer(k), "query_row long, query_id long, row long, vec_id long, score double")
+    found = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_answer(k), _FOUND)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_row", "query_id", "rank", "vec_id", "score")

@@ -3,6 +3,8 @@
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.llm import neighbours
@@ -71,3 +73,47 @@ def test_recall_over_several_full_shards(spark):
     rows = neighbours.search(table, F.col("vec_id") % 40 == 0, 20).collect()
     share, asked = recall(rows, np.arange(n), vectors, 20)
     assert asked == len(range(0, n, 40)) and share > 0.9
+
+
+def shard_of(vectors, ids=None):
+    n = len(vectors)
+    return pd.DataFrame({"shard": 0, "row": range(n), "id": ids or range(n), "vector": list(vectors), "dim": vectors.shape[1]})
+
+
+@pytest.mark.parametrize("breadth", [1, 10, 96, 2000])
+def test_walks_over_known_distances_find_what_the_search_finds(breadth):
+    random = np.random.default_rng(7)
+    vectors = random.normal(size=(1200, 17))
+    graph = neighbours.build(vectors)
+    assert len(graph.layers) > 1
+    layers = [neighbours.link_lists(layer) for layer in graph.layers]
+    for q in random.normal(size=(40, 17)):
+        far = ((vectors - q) ** 2).sum(axis=1).tolist()
+        assert neighbours.walk_down(far, layers, graph.entry, breadth) == [n for _, n in graph.search(q, breadth)]
+
+
+def test_a_block_is_answered_from_products_of_matrices(monkeypatch):
+    """No distance is computed node by node, and copies, own rows and null ids keep their order."""
+    random = np.random.default_rng(8)
+    vectors = np.repeat(random.normal(size=(300, 9)), 2, axis=0)
+    ids = [None if i % 50 == 0 else i for i in range(600)]
+    index = pd.DataFrame(neighbours._store(shard_of(vectors, ids)))
+    asked = shard_of(vectors[:500]).assign(block=0)
+    monkeypatch.setattr(neighbours.Graph, "_near", None)
+    found = neighbours._answer(5)(index, asked)
+    assert list(found.columns) == ["query_row", "query_id", "row", "vec_id", "score"]
+    for q, part in found.groupby("query_row"):
+        score = vectors @ vectors[q]
+        order = sorted((i for i in range(600) if i != q), key=lambda i: (-round(score[i], 9), ids[i] is None, ids[i] or 0))[:5]
+        assert part["row"].tolist() == order and part["query_id"].eq(q).all()
+        assert part["vec_id"].isna().tolist() == [ids[i] is None for i in order]
+        assert np.allclose(part["score"], score[order])
+
+
+def test_the_index_is_sent_to_few_blocks(spark, monkeypatch):
+    """A block of queries takes a copy of the whole index through the shuffle."""
+    blocks = []
+    monkeypatch.setattr(neighbours.F, "sequence", lambda low, high, real=F.sequence: blocks.append(high._jc.toString()) or real(low, high))
+    table = spark.range(40_000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), (F.col("id") % 7).cast("double")).alias("embedding"))
+    neighbours.search(table, F.col("vec_id") % 2 == 0, 3)
+    assert blocks[0] == "3"  # 20,000 queries
