@@ -251,9 +251,13 @@ def usable(vector: Column) -> Column:
 
 
 def build_index(vectors: DataFrame, shards: int) -> DataFrame:
-    """The stored shards of ``vectors(row, id, vector, dim)``, written so that they are built once."""
+    """The stored shards of ``vectors(row, id, vector, dim)``, written so that they are built once.
+
+    Building takes long for the few bytes of a shard, so shards are dealt by ranges: about one a task, where a hash
+    would put several together and adaptive execution would merge small partitions.
+    """
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    return stage(dealt.groupBy("shard").applyInPandas(_store, _INDEX), "vector-index")
+    return stage(dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInPandas(_store, _INDEX), "vector-index")
 
 
 def search(table: DataFrame, is_query: Column, k: int = 20, *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:

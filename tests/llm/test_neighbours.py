@@ -117,3 +117,12 @@ def test_the_index_is_sent_to_few_blocks(spark, monkeypatch):
     table = spark.range(40_000).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), (F.col("id") % 7).cast("double")).alias("embedding"))
     neighbours.search(table, F.col("vec_id") % 2 == 0, 3)
     assert blocks[0] == "3"  # 20,000 queries
+
+
+def test_shards_are_built_in_tasks_of_their_own(spark, monkeypatch):
+    table = spark.range(1600).select(F.col("id").alias("row"), F.col("id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"), F.lit(2).cast("long").alias("dim"))
+    monkeypatch.setattr(neighbours, "stage", lambda df, name: df)
+    index = neighbours.build_index(table, 16)
+    together = [r["n"] for r in index.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(together) == 16 and max(together) <= 2
+    assert index._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
