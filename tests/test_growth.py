@@ -106,7 +106,7 @@ def folder_of(df):
     return pathlib.Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).parent
 
 
-@pytest.mark.parametrize("query", ["loan_study", "model_gbt"])
+@pytest.mark.parametrize("query", ["loan_study", "feature_importance", "model_gbt", "feature_select"])
 def test_spent_tables_are_deleted_before_the_fits(spark, sf_dir, monkeypatch, query):
     staged, left = {}, []
 
